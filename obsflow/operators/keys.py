@@ -35,17 +35,18 @@ def lookup_location(
     # Keys are at most as many as stored rows, so this bounds both lookups.
     small = measured_bytes(known) <= broadcast_bytes
     found = []
+    resolved = rows
     if use_city:
         by_city = first_id_by(known, ["city"], "id", "_id_by_city")
-        rows = lookup(rows, by_city, ["city"], broadcast=small)
+        resolved = lookup(resolved, by_city, ["city"], broadcast=small, counted=rows)
         found.append("_id_by_city")
     if use_coords:
         by_coords = first_id_by(known, ["lat", "long"], "id", "_id_by_coords")
-        rows = lookup(rows, by_coords, ["lat", "long"], broadcast=small)
+        resolved = lookup(resolved, by_coords, ["lat", "long"], broadcast=small, counted=rows)
         found.append("_id_by_coords")
     # least() skips NULLs but wants two arguments.
     best = F.least(*found) if len(found) > 1 else F.col(found[0])
-    return rows.withColumn(out, best).drop(*found)
+    return resolved.withColumn(out, best).drop(*found)
 
 
 def lookup_country(

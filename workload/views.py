@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.schemas import (
+    ASTRO_FULL,
     COUNTRY_PAYLOAD,
+    CURRENT,
     FORECAST_DAY,
-    RAW_ASTRONOMY,
-    RAW_CURRENT,
-    RAW_MARINE,
+    LOCATION,
     RAW_SPORTS,
 )
 
@@ -91,19 +91,25 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, COUNTRIES_SQL, "nation")
 
 
-def _document(**fields: Column | str) -> Column:
+def _document(schema: T.StructType | None = None, **fields: Column | str) -> Column:
+    """A struct of the given fields, each cast to its type in ``schema``.
+
+    Casting the fields and not the struct lets the optimizer see through it.
+    """
     columns = {n: F.col(c) if isinstance(c, str) else c for n, c in fields.items()}
+    if schema is not None:
+        columns = {n: c.cast(schema[n].dataType) for n, c in columns.items()}
     return F.struct(*[c.alias(n) for n, c in columns.items()])
 
 
 def raw_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations as nested payloads, with the request they answer."""
     location = _document(
-        name="city", region="region", country="country", lat="lat", lon="long",
+        LOCATION, name="city", region="region", country="country", lat="lat", lon="long",
         tz_id="tz_id", localtime="localtime_txt",
     )
     current = _document(
-        cloud="cloud", condition=_document(text="condition_txt", code="condition_code"),
+        CURRENT, cloud="cloud", condition=_document(text="condition_txt", code="condition_code"),
         feelslike_c="feelslike_c", gust_kph="gust_kph", humidity="humidity", is_day="is_day",
         last_updated="last_updated_txt", precip_mm="precip_mm", pressure_in="pressure_in",
         temp_c="temp_c", uv="uv", vis_km="vis_km", wind_degree="wind_degree",
@@ -111,8 +117,7 @@ def raw_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return observations(spark, sf_dir).select(
         "obs_id", "ingest_ts", "method", "requested_city",
-        location.cast(RAW_CURRENT["location"].dataType).alias("location"),
-        current.cast(RAW_CURRENT["current"].dataType).alias("current"),
+        location.alias("location"), current.alias("current"),
     )
 
 
@@ -145,22 +150,21 @@ def order_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_location() -> Column:
     return _document(
-        name="city", region="region", country="country", lat="lat", lon="long",
+        LOCATION, name="city", region="region", country="country", lat="lat", lon="long",
         tz_id="tz_id", localtime="localtime_txt",
     )
 
 
 def raw_astronomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     astro = _document(
-        sunrise="rise_txt", sunset="set_txt", moonrise="moon_txt", moonset="set_txt",
+        ASTRO_FULL, sunrise="rise_txt", sunset="set_txt", moonrise="moon_txt", moonset="set_txt",
         moon_phase="o_orderstatus",
         moon_illumination=(F.col("o_orderkey") % 100).cast("string"),
         is_moon_up=(F.col("o_orderkey") % 2).cast("int"),
         is_sun_up=((F.col("o_orderkey") + 1) % 2).cast("int"),
     )
     return order_places(spark, sf_dir).select(
-        _order_location().cast(RAW_ASTRONOMY["location"].dataType).alias("location"),
-        _document(astro=astro).cast(RAW_ASTRONOMY["astronomy"].dataType).alias("astronomy"),
+        _order_location().alias("location"), _document(astro=astro).alias("astronomy")
     )
 
 
@@ -203,7 +207,7 @@ def raw_marine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     days = _counted((1 + key % 3).cast("int"), day)
     return order_places(spark, sf_dir).select(
-        _order_location().cast(RAW_MARINE["location"].dataType).alias("location"),
+        _order_location().alias("location"),
         _document(forecastday=days.cast(T.ArrayType(FORECAST_DAY))).alias("forecast"),
     )
 
