@@ -17,7 +17,7 @@ from obsflow.schemas import (
     CURRENT_FIELDS,
     IDENTITY_FIELDS,
     MARINE_DAY_FIELDS,
-    PROCESSED_COLUMNS,
+    PROCESSED,
     SPORTS,
 )
 
@@ -32,7 +32,7 @@ def trim_current(df: DataFrame) -> DataFrame:
     flat = df.withColumns(
         {"condition": F.col("condition.text"), "condition_code": F.col("condition.code")}
     )
-    return flat.select(*PROCESSED_COLUMNS)
+    return flat.select(*PROCESSED.names)
 
 
 def current_feed(raw: DataFrame) -> DataFrame:

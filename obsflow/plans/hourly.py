@@ -17,7 +17,7 @@ from obsflow.plans.dimensions import (
 )
 from obsflow.plans.facts import fact_with_fk
 from obsflow.plans.feeds import current_feed
-from obsflow.schemas import COUNTRIES, HOUR_BUCKET, LOCATIONS
+from obsflow.schemas import COUNTRIES, HOUR_BUCKET, LOCATIONS, PROCESSED, WEATHERS, bucketed
 from obsflow.sinks.tables import append_table, write_hour_partitions
 from obsflow.sources.landing import hour_bucket_scan, read_table
 
@@ -63,8 +63,8 @@ def load_hour(
     Each step reads what the one before has written, so new keys resolve. A
     repeated run finds its countries and locations stored and replaces its facts.
     """
-    rows = hour_bucket_scan(spark.read.parquet(house.processed), "current", run_ts, strict=True)
-    rows = rows.drop(*HOUR_BUCKET)
+    processed = read_table(spark, house.processed, bucketed(PROCESSED))
+    rows = hour_bucket_scan(processed, "current", run_ts, strict=True).drop(*HOUR_BUCKET)
 
     countries = read_table(spark, house.countries, COUNTRIES)
     missing = insert_missing_countries(clean_locations(rows), countries, country_payloads, run_ts)
@@ -93,5 +93,5 @@ def run_hour(
     """Both steps; returns the facts of the run as stored."""
     transform_hour(raw, house, run_ts)
     load_hour(spark, house, country_payloads, run_ts)
-    facts = hour_bucket_scan(spark.read.parquet(house.weathers), "current", run_ts)
-    return facts.drop(*HOUR_BUCKET)
+    weathers = read_table(spark, house.weathers, bucketed(WEATHERS))
+    return hour_bucket_scan(weathers, "current", run_ts).drop(*HOUR_BUCKET)

@@ -172,6 +172,56 @@ COUNTRIES = struct(
     ("created_at", NTZ),
 )
 
+# Partition columns of the landing, processed and fact tables.
+BUCKET_FIELDS = (("method", STRING), ("year", INT), ("month", INT), ("day", INT), ("hour", INT))
+HOUR_BUCKET = tuple(name for name, _ in BUCKET_FIELDS)
+
+_MEASURES_BEFORE_TIME = (("feelslike_C", DOUBLE), ("gust_kph", DOUBLE), ("humidity", LONG))
+_MEASURES_AFTER_TIME = (
+    ("precip_mm", DOUBLE),
+    ("pressure_in", DOUBLE),
+    ("temp_c", DOUBLE),
+    ("uv", DOUBLE),
+    ("vis_km", DOUBLE),
+    ("wind_degree", LONG),
+    ("wind_dir", STRING),
+    ("wind_kph", DOUBLE),
+)
+
+PROCESSED = struct(
+    ("cloud", LONG),
+    ("condition", STRING),
+    ("condition_code", LONG),
+    *_MEASURES_BEFORE_TIME,
+    ("is_day", LONG),
+    ("last_updated", NTZ),
+    *_MEASURES_AFTER_TIME,
+    ("country", STRING),
+    ("city", STRING),
+    ("region", STRING),
+    ("lat", DOUBLE),
+    ("long", DOUBLE),
+    ("localtime", NTZ),
+    ("tz_id", STRING),
+)
+
+WEATHERS = struct(
+    ("cloud", LONG),
+    ("condition", STRING),
+    *_MEASURES_BEFORE_TIME,
+    ("last_updated", NTZ),
+    ("localtime", NTZ),
+    *_MEASURES_AFTER_TIME,
+    ("location_id", LONG),
+    ("created_at", NTZ),
+)
+
+
+def bucketed(schema: T.StructType) -> T.StructType:
+    """A table's schema with the partition columns of an hour bucket."""
+    return struct(*[(f.name, f.dataType) for f in schema], *BUCKET_FIELDS)
+
+
 # --------------------------------------------------------------------------
 # Payload path -> output column, per feed, in output order.
 # --------------------------------------------------------------------------
@@ -201,33 +251,6 @@ CURRENT_FIELDS = (
     ("location.tz_id", "tz_id"),
 )
 
-# Columns of a processed observation, in output order.
-PROCESSED_COLUMNS = (
-    "cloud",
-    "condition",
-    "condition_code",
-    "feelslike_C",
-    "gust_kph",
-    "humidity",
-    "is_day",
-    "last_updated",
-    "precip_mm",
-    "pressure_in",
-    "temp_c",
-    "uv",
-    "vis_km",
-    "wind_degree",
-    "wind_dir",
-    "wind_kph",
-    "country",
-    "city",
-    "region",
-    "lat",
-    "long",
-    "localtime",
-    "tz_id",
-)
-
 LOCATION_COLUMNS = ("city", "country", "region", "lat", "long", "tz_id")
 
 # Columns a fact takes from a processed observation; ``city`` only finds the key.
@@ -300,5 +323,3 @@ SPORTS = ("football", "golf", "cricket")
 # Order in which requests are laid out, and order in which feeds are transformed.
 REQUEST_METHODS = ("current", "sports", "astronomy", "marine")
 FEEDS = ("current", "astronomy", "marine", "sports")
-
-HOUR_BUCKET = ("method", "year", "month", "day", "hour")

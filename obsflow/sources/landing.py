@@ -37,8 +37,9 @@ def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
     """Read a parquet table; one that was never written is empty if a schema is given."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
