@@ -37,8 +37,14 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _found(paths: Column, kind: str) -> Column:
-    return F.transform(paths, lambda p: F.struct(p.alias("path"), F.lit(kind).alias("kind")))
+def _found(names: Column, kind: str, prefix: Column) -> Column:
+    return F.transform(
+        names, lambda n: F.struct(F.concat(prefix, n).alias("path"), F.lit(kind).alias("kind"))
+    )
+
+
+def _one(path: Column, kind: str) -> Column:
+    return F.array(F.struct(path.alias("path"), F.lit(kind).alias("kind")))
 
 
 def _none() -> Column:
@@ -47,11 +53,13 @@ def _none() -> Column:
 
 def _kind(value: Column) -> Column:
     """STRING, BOOLEAN, BIGINT, DOUBLE, VOID, OBJECT or ARRAY; ``1.0`` is a BIGINT."""
-    name = F.schema_of_variant(value)
-    return (
-        F.when(name.rlike(r"^DECIMAL\(\d+,0\)$"), "BIGINT")
-        .when(name.startswith("DECIMAL") | (name == "FLOAT"), "DOUBLE")
-        .otherwise(F.regexp_extract(name, "^[A-Z]+", 0))
+    return _let(
+        F.schema_of_variant(value),
+        lambda name: F.when(
+            name.startswith("DECIMAL"), F.when(name.endswith(",0)"), "BIGINT").otherwise("DOUBLE")
+        )
+        .when(name == "FLOAT", "DOUBLE")
+        .otherwise(F.substring_index(name, "<", 1)),
     )
 
 
@@ -66,7 +74,7 @@ def _check(value: Column, dtype: T.DataType, path: Column) -> Column:
         inside = lambda items: F.array_distinct(
             F.flatten(F.transform(items, lambda v: _check(v, dtype.elementType, item_path)))
         )
-    wrong = _found(F.array(path), "wrong_type")
+    wrong = _one(path, "wrong_type")
     return _let(parts, lambda p: F.when(p.isNull(), wrong).otherwise(inside(p)))
 
 
@@ -78,14 +86,11 @@ def _check_entries(entries: Column, schema: T.StructType, prefix: Column) -> Col
     names = [F.lit(n) for n in schema.names]
     text_array = lambda items: F.array(*items).cast("array<string>")
 
-    def full(paths: Column) -> Column:
-        return F.transform(paths, lambda p: F.concat(prefix, p))
-
     present = F.map_keys(entries)
-    checks = [
-        _found(full(F.array_except(text_array(required), present)), "missing"),
-        _found(full(F.array_except(present, text_array(names))), "unknown_key"),
-    ]
+    checks = [_found(F.array_except(present, text_array(names)), "unknown_key", prefix)]
+    if required:
+        absent = F.array_except(text_array(required), present)
+        checks.append(_found(absent, "missing", prefix))
     if leaves:
         accepted = F.create_map(
             *[
@@ -105,7 +110,7 @@ def _check_entries(entries: Column, schema: T.StructType, prefix: Column) -> Col
                 F.array_contains(F.try_element_at(accepted, k), _kind(v)), F.lit(True)
             ),
         )
-        checks.append(_found(full(F.map_keys(misfits)), "wrong_type"))
+        checks.append(_found(F.map_keys(misfits), "wrong_type", prefix))
     checks += [_check_child(entries, field, prefix) for field in nested]
     return F.concat(*checks)
 
@@ -122,23 +127,24 @@ def _check_child(entries: Column, field: T.StructField, prefix: Column) -> Colum
 
 
 def violations(document: Column, schema: T.StructType) -> Column:
-    """Array of ``(path, kind)`` for a parsed document (a VARIANT column)."""
-    nowhere = F.array(F.lit(""))
-    entries = F.try_variant_get(document, "$", "map<string,variant>")
-    checked = _let(
-        entries,
-        lambda m: F.when(m.isNull(), _found(nowhere, "wrong_type")).otherwise(
-            _check_entries(m, schema, F.lit(""))
-        ),
-    )
-    return F.when(document.isNull(), _found(nowhere, "corrupt")).otherwise(checked)
+    """Array of ``(path, kind)`` for a document given as a VARIANT."""
+    here = F.lit("")
+
+    def inside(entries: Column) -> Column:
+        wrong = _one(here, "wrong_type")
+        return F.when(entries.isNull(), wrong).otherwise(_check_entries(entries, schema, here))
+
+    def whole(parsed: Column) -> Column:
+        entries = F.try_variant_get(parsed, "$", "map<string,variant>")
+        return F.when(parsed.isNull(), _one(here, "corrupt")).otherwise(_let(entries, inside))
+
+    return _let(document, whole)
 
 
 def with_violations(
     df: DataFrame, text: str, schema: T.StructType, out: str = "violations"
 ) -> DataFrame:
-    parsed = df.withColumn("_document", F.try_parse_json(F.col(text)))
-    return parsed.withColumn(out, violations(F.col("_document"), schema)).drop("_document")
+    return df.withColumn(out, violations(F.try_parse_json(F.col(text)), schema))
 
 
 def contract_violations(df: DataFrame, text: str, schema: T.StructType, keep=()) -> DataFrame:

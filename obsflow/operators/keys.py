@@ -16,6 +16,7 @@ from obsflow.operators.lookup import (
     lookup,
     measured_bytes,
 )
+from obsflow.scratch import materialise
 
 
 def lookup_location(
@@ -93,6 +94,9 @@ def fill_from_dimension(
         F.col("id").alias("_location"), *[F.col(c).alias(f"_stored_{c}") for c in columns]
     )
     small = measured_bytes(stored) <= broadcast_bytes
+    if not small:
+        # The next lookup counts its keys first: do not resolve the rows twice.
+        resolved = materialise(resolved, "resolved")
     joined = lookup(resolved, stored, ["_location"], broadcast=small)
     filled = joined.withColumns({c: F.coalesce(c, f"_stored_{c}") for c in columns})
     return filled.select(*rows.columns)

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from obsflow.functions.times import run_time, with_hour_bucket
 from obsflow.operators.clean import clean_locations
@@ -19,7 +20,7 @@ from obsflow.plans.facts import fact_with_fk
 from obsflow.plans.feeds import current_feed
 from obsflow.schemas import COUNTRIES, HOUR_BUCKET, LOCATIONS, PROCESSED, WEATHERS, bucketed
 from obsflow.sinks.tables import append_table, write_hour_partitions
-from obsflow.sources.landing import hour_bucket_scan, read_table
+from obsflow.sources.landing import read_hour_bucket, read_table
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,13 @@ def _stored(df: DataFrame, run_ts: datetime, path: str, method: str = "current")
     write_hour_partitions(with_hour_bucket(df, method, run_time(run_ts)), path)
 
 
+def _bucket(
+    spark: SparkSession, path: str, schema: StructType, run_ts: datetime, *, strict: bool = False
+) -> DataFrame:
+    bucket = read_hour_bucket(spark, path, bucketed(schema), "current", run_ts, strict=strict)
+    return bucket.drop(*HOUR_BUCKET)
+
+
 def transform_hour(raw: DataFrame, house: Lakehouse, run_ts: datetime) -> None:
     """Step 1: the run's raw payloads to the processed table."""
     _stored(current_feed(raw), run_ts, house.processed)
@@ -63,8 +71,7 @@ def load_hour(
     Each step reads what the one before has written, so new keys resolve. A
     repeated run finds its countries and locations stored and replaces its facts.
     """
-    processed = read_table(spark, house.processed, bucketed(PROCESSED))
-    rows = hour_bucket_scan(processed, "current", run_ts, strict=True).drop(*HOUR_BUCKET)
+    rows = _bucket(spark, house.processed, PROCESSED, run_ts, strict=True)
 
     countries = read_table(spark, house.countries, COUNTRIES)
     missing = insert_missing_countries(clean_locations(rows), countries, country_payloads, run_ts)
@@ -93,5 +100,4 @@ def run_hour(
     """Both steps; returns the facts of the run as stored."""
     transform_hour(raw, house, run_ts)
     load_hour(spark, house, country_payloads, run_ts)
-    weathers = read_table(spark, house.weathers, bucketed(WEATHERS))
-    return hour_bucket_scan(weathers, "current", run_ts).drop(*HOUR_BUCKET)
+    return _bucket(spark, house.weathers, WEATHERS, run_ts)

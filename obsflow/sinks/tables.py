@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.functions.times import minute_bucket, with_hour_bucket
 from obsflow.operators.latest import first_per_key
 from obsflow.schemas import HOUR_BUCKET
+from obsflow.sources.landing import read_table
 
 
 def write_hour_partitions(
@@ -37,6 +38,28 @@ def write_hour_partitions(
     )
 
 
+def _merge(
+    batch: DataFrame,
+    path: str,
+    by: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[Column],
+    *,
+    sort_by: Sequence[str] = (),
+    fmt: str = "parquet",
+) -> None:
+    """Bring a batch into a partitioned table: its rows replace those with the same keys.
+
+    Only the partitions the batch has rows for are read and written again.
+    """
+    batch = batch.select(*[c for c in batch.columns if c not in by], *by)
+    stored = read_table(batch.sparkSession, path, batch.schema, fmt=fmt)
+    touched = stored.join(batch.select(*by).distinct(), list(by), "left_semi")
+    both = batch.withColumn("_age", F.lit(0)).unionByName(touched.withColumn("_age", F.lit(1)))
+    kept = first_per_key(both, keys, [F.asc("_age"), *order]).drop("_age")
+    write_hour_partitions(kept, path, by, sort_by=sort_by, fmt=fmt)
+
+
 def land_raw(
     payloads: DataFrame,
     path: str,
@@ -50,7 +73,7 @@ def land_raw(
     """Land payloads in hour buckets; within one, the last payload of a requested city stays."""
     bucketed = with_hour_bucket(payloads, F.col(method), F.col(ts))
     order = [F.desc_nulls_last(c) for c in (ts, *tie)]
-    write_hour_partitions(first_per_key(bucketed, [*HOUR_BUCKET, city], order), path, fmt=fmt)
+    _merge(bucketed, path, HOUR_BUCKET, [*HOUR_BUCKET, city], order, fmt=fmt)
 
 
 def land_raw_minute(
@@ -72,8 +95,9 @@ def land_raw_minute(
         "minute_bucket", minute_bucket(F.col(ts))
     )
     order = [F.desc_nulls_last(c) for c in (ts, *tie)]
-    kept = first_per_key(bucketed, ["method", "minute_bucket", city], order)
-    write_hour_partitions(kept, path, ("method", "year", "month", "day"), sort_by=["minute_bucket"])
+    by = ["method", "year", "month", "day"]
+    keys = [*by, "minute_bucket", city]
+    _merge(bucketed, path, by, keys, order, sort_by=["minute_bucket"])
 
 
 def append_table(df: DataFrame, path: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.functions.documents import map_to_rows
+from obsflow.schemas import HOUR_BUCKET
 
 CORRUPT = "_corrupt_record"
 
@@ -34,18 +35,46 @@ def scan_json(
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, *, fmt: str = "parquet"
 ) -> DataFrame:
-    """Read a parquet table; one that was never written is empty if a schema is given."""
+    """Read a table; one that was never written is empty if a schema is given."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return reader.parquet(path)
+        return reader.format(fmt).load(path)
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_hour_bucket(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    method: str,
+    when: datetime,
+    *,
+    strict: bool = False,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Read one hour bucket from its folder, without listing the rest of the table.
+
+    What an hourly run costs does not grow with the history kept that way.
+    ``schema`` names the partition columns too.
+    """
+    values = (method, when.year, when.month, when.day, when.hour)
+    folder = "/".join(f"{column}={value}" for column, value in zip(HOUR_BUCKET, values))
+    reader = spark.read.schema(schema).option("basePath", root).format(fmt)
+    try:
+        return reader.load(f"{root}/{folder}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if strict:
+        raise ValueError(f"no data landed for {method} in the hour of {when:%Y-%m-%d %H}:00")
+    return spark.createDataFrame([], schema)
+
+
 def hour_bucket_scan(
     landed: DataFrame, method: str, when: datetime, *, strict: bool = False
 ) -> DataFrame:

@@ -82,10 +82,20 @@ def test_land_raw_keeps_the_last_payload_and_replaces_only_its_hours(spark, tmp_
     land(("a", 1, 0, 1), ("a", 1, 30, 2), ("b", 1, 0, 3), ("a", 2, 0, 4))
     read = lambda: rows(spark.read.parquet(path).select("city", "hour", "v"))
     assert read() == [("a", 1, 2), ("a", 2, 4), ("b", 1, 3)]
-    land(("a", 2, 5, 9))
-    assert read() == [("a", 1, 2), ("a", 2, 9), ("b", 1, 3)]
-    land(("a", 2, 5, 9))
-    assert read() == [("a", 1, 2), ("a", 2, 9), ("b", 1, 3)]
+    # A later batch replaces the payloads it brings again and leaves the others.
+    for _ in range(2):
+        land(("a", 1, 0, 7), ("c", 2, 5, 9))
+        assert read() == [("a", 1, 7), ("a", 2, 4), ("b", 1, 3), ("c", 2, 9)]
+
+
+def test_merge_reads_and_writes_only_the_hours_of_the_batch(spark, tmp_path):
+    path = tmp_path / "land"
+    tables.land_raw(bucketed(spark, ("a", 1, 0, 1), ("a", 2, 0, 1)), str(path), ts="ts")
+    files = lambda hour: {f.name for f in path.glob(f"*/*/*/*/hour={hour}/*.parquet")}
+    before = files(1), files(2)
+    tables.land_raw(bucketed(spark, ("b", 2, 0, 1)), str(path), ts="ts")
+    assert files(1) == before[0]
+    assert files(2) != before[1]
 
 
 def test_land_raw_as_json(spark, tmp_path):
@@ -120,6 +130,21 @@ def test_hour_bucket_scan_prunes_partitions(spark, tmp_path):
         landing.hour_bucket_scan(landed, "current", missing, strict=True)
 
 
+def test_read_hour_bucket_goes_to_its_folder(spark, tmp_path):
+    path = str(tmp_path / "land")
+    tables.land_raw(bucketed(spark, ("a", 1, 0, 1), ("b", 2, 0, 2)), path, ts="ts")
+    schema = spark.read.parquet(path).schema
+    when = datetime(2024, 1, 1, 2)
+    direct = landing.read_hour_bucket(spark, path, schema, "current", when)
+    scanned = landing.hour_bucket_scan(spark.read.parquet(path), "current", when)
+    assert rows(direct) == rows(scanned) and direct.columns == scanned.columns
+    assert all("hour=2" in f for f in direct.inputFiles())
+    nothing = datetime(2025, 1, 1)
+    assert landing.read_hour_bucket(spark, path, schema, "current", nothing).count() == 0
+    with pytest.raises(ValueError, match="no data landed"):
+        landing.read_hour_bucket(spark, path, schema, "current", nothing, strict=True)
+
+
 def test_large_bucket_is_split_over_files(spark, settings, tmp_path):
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
     path = str(tmp_path / "t")
