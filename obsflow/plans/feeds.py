@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,7 +131,7 @@ def transform_feeds(spark: SparkSession, frames: Mapping[str, DataFrame], root:
                     label, F.lit("done").alias("status"), "rows", F.lit(None).cast("string").alias("error")
                 )
             )
-        except (ValueError, PySparkException) as error:
+        except Exception as error:  # whatever it is, it is reported and not raised
             outcomes.append(
                 spark.range(1).select(
                     label,

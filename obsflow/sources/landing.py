@@ -34,6 +34,11 @@ def scan_json(
     )
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    # The limit shows the optimizer that there is nothing to join or shuffle.
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, *, fmt: str = "parquet"
 ) -> DataFrame:
@@ -44,7 +49,7 @@ def read_table(
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
 
 
 def read_hour_bucket(
@@ -72,7 +77,7 @@ def read_hour_bucket(
             raise
     if strict:
         raise ValueError(f"no data landed for {method} in the hour of {when:%Y-%m-%d %H}:00")
-    return spark.createDataFrame([], schema)
+    return _empty(spark, schema)
 
 
 def hour_bucket_scan(
