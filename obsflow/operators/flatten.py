@@ -96,5 +96,5 @@ def drop_all_empty_lists(df: DataFrame, arrays: Iterable[str]) -> DataFrame:
     """Drop rows in which every one of the arrays is empty or NULL."""
     any_filled = F.lit(False)
     for a in arrays:
-        any_filled = any_filled | (F.coalesce(F.size(a), F.lit(0)) > 0)
+        any_filled = any_filled | (F.coalesce(F.array_size(a), F.lit(0)) > 0)
     return df.where(any_filled)

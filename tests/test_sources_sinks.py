@@ -157,6 +157,14 @@ def test_large_bucket_is_split_over_files(spark, settings, tmp_path):
     assert spark.read.parquet(path).count() == 60_000
 
 
+def test_one_large_hour_is_split_over_files(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
+    df = spark.range(0, 60_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    hour = with_hour_bucket(df, "current", F.lit("2024-01-01 05:00:00").cast("timestamp_ntz"))
+    tables.write_hour_partitions(hour, str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").glob("*/*/*/*/hour=5/*.parquet"))) > 2
+
+
 def test_read_table_that_was_never_written(spark, tmp_path):
     path = str(tmp_path / "none")
     assert landing.read_table(spark, path, LOCATIONS).columns == LOCATIONS.names

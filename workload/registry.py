@@ -285,7 +285,7 @@ def audit_stamp(spark, d):
 @query
 def drop_all_empty_lists(spark, d):
     kept = flatten.drop_all_empty_lists(views.raw_sports(spark, d), SPORTS)
-    sizes = [F.coalesce(F.size(s), F.lit(0)).alias(f"n_{s}") for s in SPORTS]
+    sizes = [F.coalesce(F.array_size(s), F.lit(0)).alias(f"n_{s}") for s in SPORTS]
     return kept.select("o_orderkey", *sizes)
 
 
