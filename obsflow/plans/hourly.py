@@ -58,6 +58,12 @@ def _bucket(
     return bucket.drop(*HOUR_BUCKET)
 
 
+def _grow(new: DataFrame, path: str) -> None:
+    """Append to a dimension; most hours bring nothing new and shall leave no file."""
+    if not new.isEmpty():
+        append_table(new, path)
+
+
 def transform_hour(raw: DataFrame, house: Lakehouse, run_ts: datetime) -> None:
     """Step 1: the run's raw payloads to the processed table."""
     _stored(current_feed(raw), run_ts, house.processed)
@@ -75,16 +81,12 @@ def load_hour(
 
     countries = read_table(spark, house.countries, COUNTRIES)
     missing = insert_missing_countries(clean_locations(rows), countries, country_payloads, run_ts)
-    append_table(
-        assign_ids(missing, countries, ["name"]).select(*COUNTRIES.names), house.countries
-    )
+    _grow(assign_ids(missing, countries, ["name"]).select(*COUNTRIES.names), house.countries)
 
     countries = read_table(spark, house.countries, COUNTRIES)
     locations = read_table(spark, house.locations, LOCATIONS)
     fresh = new_locations(rows, locations, countries, run_ts)
-    append_table(
-        assign_ids(fresh, locations, LOCATION_ORDER).select(*LOCATIONS.names), house.locations
-    )
+    _grow(assign_ids(fresh, locations, LOCATION_ORDER).select(*LOCATIONS.names), house.locations)
 
     locations = read_table(spark, house.locations, LOCATIONS)
     _stored(fact_with_fk(rows, locations, run_ts), run_ts, house.weathers)

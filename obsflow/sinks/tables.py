@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from obsflow.functions.times import minute_bucket, with_hour_bucket
 from obsflow.operators.latest import first_per_key
 from obsflow.schemas import HOUR_BUCKET
-from obsflow.sources.landing import read_table
+from obsflow.sources.landing import read_partitions, read_table
+
+# Up to this many partitions are opened folder by folder.
+MAX_FOLDERS = 1000
 
 
 def write_hour_partitions(
@@ -38,6 +41,22 @@ def write_hour_partitions(
     )
 
 
+def _stored_rows(batch: DataFrame, path: str, by: Sequence[str], fmt: str) -> DataFrame | None:
+    """Stored rows of the partitions a batch touches.
+
+    A batch of few partitions has them read from their folders. One that spans
+    more is matched against the table, most of which it rewrites anyway.
+    """
+    spark = batch.sparkSession
+    touched = batch.select(*by).distinct()
+    few = touched.take(MAX_FOLDERS + 1)
+    if len(few) <= MAX_FOLDERS:
+        return read_partitions(spark, path, batch.schema, by, few, fmt=fmt)
+    stored = read_table(spark, path, batch.schema, fmt=fmt).alias("stored")
+    same = [F.col(f"stored.{c}").eqNullSafe(F.col(f"touched.{c}")) for c in by]
+    return stored.join(touched.alias("touched"), same, "left_semi")
+
+
 def _merge(
     batch: DataFrame,
     path: str,
@@ -53,10 +72,11 @@ def _merge(
     Only the partitions the batch has rows for are read and written again.
     """
     batch = batch.select(*[c for c in batch.columns if c not in by], *by)
-    stored = read_table(batch.sparkSession, path, batch.schema, fmt=fmt)
-    touched = stored.join(batch.select(*by).distinct(), list(by), "left_semi")
-    both = batch.withColumn("_age", F.lit(0)).unionByName(touched.withColumn("_age", F.lit(1)))
-    kept = first_per_key(both, keys, [F.asc("_age"), *order]).drop("_age")
+    rows = batch.withColumn("_age", F.lit(0))
+    stored = _stored_rows(batch, path, by, fmt)
+    if stored is not None:
+        rows = rows.unionByName(stored.withColumn("_age", F.lit(1)))
+    kept = first_per_key(rows, keys, [F.asc("_age"), *order]).drop("_age")
     write_hour_partitions(kept, path, by, sort_by=sort_by, fmt=fmt)
 
 

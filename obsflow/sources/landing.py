@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,8 @@ from obsflow.functions.documents import map_to_rows
 from obsflow.schemas import HOUR_BUCKET
 
 CORRUPT = "_corrupt_record"
+# Spark's folder name for a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def scan_json(
@@ -52,6 +55,36 @@ def read_table(
         return _empty(spark, schema)
 
 
+def read_partitions(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    by: Sequence[str],
+    partitions: Sequence[Sequence],
+    *,
+    fmt: str = "parquet",
+) -> DataFrame | None:
+    """Read some partitions from their folders, without listing the rest of the table.
+
+    ``partitions`` holds the values of the partition columns ``by``: numbers and
+    plain words. Those that do not exist are passed over; None if none exists.
+    """
+    folders = [
+        "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(by, values))
+        for values in partitions
+    ]
+    if not folders:
+        return None
+    pattern = folders[0] if len(folders) == 1 else "{" + ",".join(folders) + "}"
+    reader = spark.read.schema(schema).option("basePath", root).format(fmt)
+    try:
+        return reader.load(f"{root}/{pattern}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_hour_bucket(
     spark: SparkSession,
     root: str,
@@ -62,22 +95,16 @@ def read_hour_bucket(
     strict: bool = False,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Read one hour bucket from its folder, without listing the rest of the table.
+    """Read one hour bucket from its folder.
 
     What an hourly run costs does not grow with the history kept that way.
     ``schema`` names the partition columns too.
     """
-    values = (method, when.year, when.month, when.day, when.hour)
-    folder = "/".join(f"{column}={value}" for column, value in zip(HOUR_BUCKET, values))
-    reader = spark.read.schema(schema).option("basePath", root).format(fmt)
-    try:
-        return reader.load(f"{root}/{folder}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    if strict:
+    bucket = (method, when.year, when.month, when.day, when.hour)
+    found = read_partitions(spark, root, schema, HOUR_BUCKET, [bucket], fmt=fmt)
+    if found is None and strict:
         raise ValueError(f"no data landed for {method} in the hour of {when:%Y-%m-%d %H}:00")
-    return _empty(spark, schema)
+    return _empty(spark, schema) if found is None else found
 
 
 def hour_bucket_scan(

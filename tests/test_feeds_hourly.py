@@ -201,11 +201,14 @@ def test_three_hours_end_to_end(spark, tmp_path):
         [current("a", temp=1.0), current("renamed", lat=3.0), current("d", lat=4.0, country="Atlantis")],
         [current("d", lat=4.0), current(None, lat=4.0), current("", lat=6.0, weather={"wind_dir": ""})],
     ]
+    files = lambda: sorted(f.name for t in ("locations", "countries") for f in (tmp_path / "house" / t).glob("*.parquet"))
     for hour, batch in zip(hours, batches):
         raw = frame(spark, RAW_CURRENT, *batch)
         first = rows(run_hour(spark, raw, house, payloads(spark), hour))
+        stored = files()
         again = rows(run_hour(spark, raw, house, payloads(spark), hour))
         assert first == again
+        assert files() == stored
 
     read = lambda path, *columns: rows(spark.read.parquet(path).select(*columns))
     assert read(house.countries, "id", "name", "requested_as") == [

@@ -88,6 +88,22 @@ def test_land_raw_keeps_the_last_payload_and_replaces_only_its_hours(spark, tmp_
         assert read() == [("a", 1, 7), ("a", 2, 4), ("b", 1, 3), ("c", 2, 9)]
 
 
+@pytest.mark.parametrize("folders", [1000, 1])
+def test_merge_by_folder_and_by_match_agree(spark, tmp_path, monkeypatch, folders):
+    monkeypatch.setattr(tables, "MAX_FOLDERS", folders)
+    path = str(tmp_path / "land")
+    no_time = bucketed(spark, ("a", 1, 0, 1), ("x", 1, 0, 9)).withColumn(
+        "ts", F.when(F.col("city") == "a", F.col("ts"))
+    )
+    tables.land_raw(no_time, path, ts="ts")
+    tables.land_raw(no_time.withColumns({"city": F.lit("b")}).where("v = 9"), path, ts="ts")
+    tables.land_raw(bucketed(spark, ("c", 1, 0, 2), ("c", 2, 0, 3), ("x", 3, 0, 4)), path, ts="ts")
+    got = rows(spark.read.parquet(path).select("city", "hour", "v"))
+    assert got == sorted(
+        [("a", 1, 1), ("b", None, 9), ("c", 1, 2), ("c", 2, 3), ("x", 3, 4), ("x", None, 9)], key=repr
+    )
+
+
 def test_merge_reads_and_writes_only_the_hours_of_the_batch(spark, tmp_path):
     path = tmp_path / "land"
     tables.land_raw(bucketed(spark, ("a", 1, 0, 1), ("a", 2, 0, 1)), str(path), ts="ts")
