@@ -42,19 +42,22 @@ def write_hour_partitions(
 
 
 def _stored_rows(batch: DataFrame, path: str, by: Sequence[str], fmt: str) -> DataFrame | None:
-    """Stored rows of the partitions a batch touches.
+    """Stored rows of the partitions a batch touches; ``by`` is the method, then the time.
 
-    A batch of few partitions has them read from their folders. One that spans
-    more is matched against the table, most of which it rewrites anyway.
+    A batch of few partitions has them read from their folders. One of many is
+    matched against the part of the table between its first and last time.
     """
     spark = batch.sparkSession
     touched = batch.select(*by).distinct()
     few = touched.take(MAX_FOLDERS + 1)
     if len(few) <= MAX_FOLDERS:
         return read_partitions(spark, path, batch.schema, by, few, fmt=fmt)
-    stored = read_table(spark, path, batch.schema, fmt=fmt).alias("stored")
+    time = F.struct(*by[1:])
+    first, last = touched.agg(F.min(time), F.max(time)).first()
+    bound = lambda row: F.struct(*[F.lit(v).cast("int").alias(c) for c, v in row.asDict().items()])
+    stored = read_table(spark, path, batch.schema, fmt=fmt).where(time.between(bound(first), bound(last)))
     same = [F.col(f"stored.{c}").eqNullSafe(F.col(f"touched.{c}")) for c in by]
-    return stored.join(touched.alias("touched"), same, "left_semi")
+    return stored.alias("stored").join(touched.alias("touched"), same, "left_semi")
 
 
 def _merge(

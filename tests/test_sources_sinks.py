@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import datetime
 from pathlib import Path
 
@@ -104,6 +105,17 @@ def test_merge_by_folder_and_by_match_agree(spark, tmp_path, monkeypatch, folder
     )
 
 
+def test_merge_of_many_partitions_prunes_by_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_FOLDERS", 0)
+    path = str(tmp_path / "land")
+    tables.land_raw(bucketed(spark, *[("a", h, 0, h) for h in range(6)]), path, ts="ts")
+    batch = with_hour_bucket(bucketed(spark, ("a", 3, 0, 1), ("a", 4, 0, 1)), "current", F.col("ts"))
+    found = tables._stored_rows(batch, path, HOUR_BUCKET, "parquet")
+    assert sorted(r.hour for r in found.collect()) == [3, 4]
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(found)).group(1)
+    assert "year" in filters and "hour" in filters
+
+
 def test_merge_reads_and_writes_only_the_hours_of_the_batch(spark, tmp_path):
     path = tmp_path / "land"
     tables.land_raw(bucketed(spark, ("a", 1, 0, 1), ("a", 2, 0, 1)), str(path), ts="ts")

@@ -92,11 +92,23 @@ def scan_nested_json(spark, d):
     )
 
 
+LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_payloads(spark, d):
+    """The payload table in hour buckets, landed once per session and kept."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in LANDED:
+        path = scratch_path(spark, "landing")
+        tables.land_raw(raw_texts(spark, d), path, tie=["obs_id"])
+        LANDED[key] = path
+    return spark.read.parquet(LANDED[key])
+
+
 @query
 def hour_bucket_scan(spark, d):
-    path = scratch_path(spark, "hour-buckets")
-    tables.land_raw(raw_texts(spark, d).drop("payload"), path, tie=["obs_id"])
-    return landing.hour_bucket_scan(spark.read.parquet(path), "current", SCAN_HOUR)
+    landed = landed_payloads(spark, d).drop("payload")
+    return landing.hour_bucket_scan(landed, "current", SCAN_HOUR)
 
 
 @query
@@ -157,9 +169,7 @@ def save_processed(spark, d):
 
 @query
 def land_raw(spark, d):
-    path = scratch_path(spark, "landing")
-    tables.land_raw(raw_texts(spark, d), path, tie=["obs_id"])
-    landed = spark.read.parquet(path)
+    landed = landed_payloads(spark, d)
     temp = F.get_json_object("payload", "$.current.temp_c").cast("double")
     return landed.select("obs_id", "city", *HOUR_BUCKET, temp.alias("temp_c"))
 
