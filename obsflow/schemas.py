@@ -176,8 +176,16 @@ COUNTRIES = struct(
 BUCKET_FIELDS = (("method", STRING), ("year", INT), ("month", INT), ("day", INT), ("hour", INT))
 HOUR_BUCKET = tuple(name for name, _ in BUCKET_FIELDS)
 
-_MEASURES_BEFORE_TIME = (("feelslike_C", DOUBLE), ("gust_kph", DOUBLE), ("humidity", LONG))
-_MEASURES_AFTER_TIME = (
+# Columns of a processed observation and of a fact, in output order.
+PROCESSED = struct(
+    ("cloud", LONG),
+    ("condition", STRING),
+    ("condition_code", LONG),
+    ("feelslike_C", DOUBLE),
+    ("gust_kph", DOUBLE),
+    ("humidity", LONG),
+    ("is_day", LONG),
+    ("last_updated", NTZ),
     ("precip_mm", DOUBLE),
     ("pressure_in", DOUBLE),
     ("temp_c", DOUBLE),
@@ -186,16 +194,6 @@ _MEASURES_AFTER_TIME = (
     ("wind_degree", LONG),
     ("wind_dir", STRING),
     ("wind_kph", DOUBLE),
-)
-
-PROCESSED = struct(
-    ("cloud", LONG),
-    ("condition", STRING),
-    ("condition_code", LONG),
-    *_MEASURES_BEFORE_TIME,
-    ("is_day", LONG),
-    ("last_updated", NTZ),
-    *_MEASURES_AFTER_TIME,
     ("country", STRING),
     ("city", STRING),
     ("region", STRING),
@@ -208,10 +206,19 @@ PROCESSED = struct(
 WEATHERS = struct(
     ("cloud", LONG),
     ("condition", STRING),
-    *_MEASURES_BEFORE_TIME,
+    ("feelslike_C", DOUBLE),
+    ("gust_kph", DOUBLE),
+    ("humidity", LONG),
     ("last_updated", NTZ),
     ("localtime", NTZ),
-    *_MEASURES_AFTER_TIME,
+    ("precip_mm", DOUBLE),
+    ("pressure_in", DOUBLE),
+    ("temp_c", DOUBLE),
+    ("uv", DOUBLE),
+    ("vis_km", DOUBLE),
+    ("wind_degree", LONG),
+    ("wind_dir", STRING),
+    ("wind_kph", DOUBLE),
     ("location_id", LONG),
     ("created_at", NTZ),
 )
@@ -320,6 +327,5 @@ MARINE_DAY_FIELDS = (
 
 SPORTS = ("football", "golf", "cricket")
 
-# Order in which requests are laid out, and order in which feeds are transformed.
+# Order in which requests are laid out.
 REQUEST_METHODS = ("current", "sports", "astronomy", "marine")
-FEEDS = ("current", "astronomy", "marine", "sports")
