@@ -12,7 +12,7 @@ from obsflow.functions.times import audit_stamp
 from obsflow.operators.clean import clean_locations, project_location
 from obsflow.operators.keys import lookup_country, lookup_location
 from obsflow.operators.latest import first_per_key
-from obsflow.operators.lookup import BROADCAST_BYTES
+from obsflow.operators.lookup import BROADCAST_BYTES, lookup, measured_bytes
 from obsflow.operators.rownum import row_index
 
 
@@ -30,10 +30,15 @@ def insert_missing_countries(
         .select(F.col("country").alias("requested_as"))
         .distinct()
     )
-    known = countries.select(F.col("name").alias("requested_as"))
+    names = countries.select(F.col("name").alias("requested_as"))
     if "requested_as" in countries.columns:
-        known = known.unionByName(countries.select("requested_as"))
-    unknown = wanted.join(known, "requested_as", "left_anti")
+        names = names.unionByName(countries.select("requested_as"))
+    # Not an anti join: the optimizer would move that below the distinct and
+    # join every row instead of every name.
+    known = names.where(F.col("requested_as").isNotNull()).distinct().withColumn("_known", F.lit(True))
+    small = measured_bytes(names) <= BROADCAST_BYTES
+    flagged = lookup(wanted, known, ["requested_as"], broadcast=small)
+    unknown = flagged.where(F.col("_known").isNull()).drop("_known")
     found = unknown.join(payloads, "requested_as").join(
         countries.select("name"), "name", "left_anti"
     )

@@ -67,6 +67,18 @@ def test_one_per_key_is_cut_down_before_the_shuffle(spark, sf_dir, name):
     assert re.search(r"WindowGroupLimit.*Partial", text)
 
 
+@pytest.mark.parametrize("name", ["insert_missing_countries", "new_locations"])
+def test_rows_are_made_distinct_before_any_join(spark, sf_dir, name):
+    lines = plan(QUERIES[name](spark, sf_dir)).splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "event_id" in line)
+    for line in reversed(lines[:scan]):
+        assert "Join" not in line
+        if "HashAggregate" in line:
+            break
+    else:
+        pytest.fail("the rows are not aggregated")
+
+
 @pytest.mark.parametrize("name", ["null_profile", "type_profile", "dim_key_min_id"])
 def test_aggregates_are_partial_before_the_shuffle(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
