@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as driver
 from compare import connect, differences
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = driver.QUERIES
+SQL = driver.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
