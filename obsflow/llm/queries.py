@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from obsflow.llm import mixing, url_filter
+from obsflow.llm import bpe, mixing, token_counts, token_files, url_filter
 from obsflow.llm.common import table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -15,6 +16,19 @@ def op2_url_filters(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op3_token_counts(spark, sf_dir):
+    return token_counts.section_token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
+def op5_token_files(spark, sf_dir):
+    back = token_files.token_files(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select(
@@ -23,9 +37,20 @@ def op7_source_mixing(spark, sf_dir):
     )
 
 
+def op10_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", (F.octet_length("bpe_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("bpe_ids", 256).alias("ids_sha256"), F.sha2("bpe_decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op2_url_filters": op2_url_filters,
+    "op3_token_counts": op3_token_counts,
+    "op5_token_files": op5_token_files,
     "op7_source_mixing": op7_source_mixing,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL = {
