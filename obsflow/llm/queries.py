@@ -5,12 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from obsflow.llm import bpe, mixing, token_counts, token_files, url_filter
+from obsflow.llm import (
+    bpe, mixing, nearest, quality_rules, token_counts, token_files, toxicity, url_filter,
+)
 from obsflow.llm.common import table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
@@ -29,6 +36,13 @@ def op5_token_files(spark, sf_dir):
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality_rules.judge_documents(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select(
@@ -37,6 +51,10 @@ def op7_source_mixing(spark, sf_dir):
     )
 
 
+def op9_nearest_vectors(spark, sf_dir):
+    return nearest.nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
@@ -46,10 +64,13 @@ def op10_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
     "op3_token_counts": op3_token_counts,
     "op5_token_files": op5_token_files,
+    "op6_quality_rules": op6_quality_rules,
     "op7_source_mixing": op7_source_mixing,
+    "op9_nearest_vectors": op9_nearest_vectors,
     "op10_bpe": op10_bpe,
 }
 
