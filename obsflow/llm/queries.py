@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from obsflow.llm import (
-    bpe, mixing, nearest, quality_rules, token_counts, token_files, toxicity, url_filter,
+    bpe, mixing, nearest, ngram_join, quality_rules, token_counts, token_files, toxicity, url_filter,
 )
 from obsflow.llm.common import table
 
@@ -29,6 +29,10 @@ def op3_token_counts(spark, sf_dir):
     )
 
 
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.document_components(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark, sf_dir):
     back = token_files.token_files(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1
@@ -67,6 +71,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
     "op3_token_counts": op3_token_counts,
+    "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_source_mixing": op7_source_mixing,
