@@ -109,11 +109,11 @@ def tree_overlaps(root: list, probe: np.ndarray, needed: np.ndarray) -> dict[int
 
 
 def shared_sets(docs: DataFrame) -> DataFrame:
-    """(node, doc_id, n, tokens): every document with its number of shingles.
+    """(node, doc_id, mark, n, tokens): every document with its number of shingles.
 
     ``tokens`` holds the shingles that other documents have too, in the global order
     (rare ones first), where they are three quarters or more of the set; else NULL.
-    ``node`` numbers the rows.
+    ``node`` numbers the rows, ``mark`` is a hash of the text.
     """
     buckets = partitions(docs.sparkSession)
     key = docs.schema["doc_id"].dataType.simpleString()
@@ -128,7 +128,8 @@ def shared_sets(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({
                 "bucket": [b for b, _, _ in rows] + [number % buckets], "piece": number,
                 "places": [p for _, p, _ in rows] + [None], "low": [v for _, _, v in rows] + [None],
-                "ids": [None] * len(rows) + [piece["doc_id"].tolist()],
+                "ids": [None] * len(rows) + [piece["doc_id"].astype(object).where(piece["doc_id"].notna(), None).tolist()],
+                "marks": [None] * len(rows) + [piece["mark"].tolist()],
                 "sizes": [None] * len(rows) + [sizes.tolist()],
             })
 
@@ -139,7 +140,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
         rows = pd.concat(held, ignore_index=True)
         book = rows[rows["low"].isna()]
         if len(book):
-            yield book[["piece", "ids", "sizes"]].assign(places=None, tokens=None)
+            yield book[["piece", "ids", "marks", "sizes"]].assign(places=None, tokens=None)
         rows = rows[rows["low"].notna()]
         if len(rows) == 0:
             return
@@ -157,7 +158,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
             if shared.any():
                 tokens = rank[at:end][shared] << 56 | v[shared].astype(np.int64)
                 yield pd.DataFrame({
-                    "piece": [piece], "ids": [None], "sizes": [None],
+                    "piece": [piece], "ids": [None], "marks": [None], "sizes": [None],
                     "places": [place[shared].astype("<u2").tobytes()], "tokens": [tokens.astype("<i8").tobytes()],
                 })
             at = end
@@ -175,16 +176,17 @@ def shared_sets(docs: DataFrame) -> DataFrame:
         sets = [s if ok else None for s, ok in zip(np.split(token[order], cuts), near, strict=True)]
         return pd.DataFrame({
             "node": (int(book["piece"]) << 16) + np.arange(len(n)), "doc_id": pd.Series(list(book["ids"]), dtype=object),
-            "n": n, "tokens": pd.Series(sets, dtype=object),
+            "mark": list(book["marks"]), "n": n, "tokens": pd.Series(sets, dtype=object),
         })
 
-    asked = docs.select("doc_id", "text").mapInPandas(
-        ask, f"bucket int, piece long, places binary, low binary, ids array<{key}>, sizes array<int>"
+    book = f"ids array<{key}>, marks array<long>, sizes array<int>"
+    asked = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInPandas(
+        ask, f"bucket int, piece long, places binary, low binary, {book}"
     )
     told = asked.repartition(buckets, "bucket").mapInPandas(
-        compare, f"piece long, places binary, tokens binary, ids array<{key}>, sizes array<int>"
+        compare, f"piece long, places binary, tokens binary, {book}"
     )
-    return told.groupBy("piece").applyInPandas(gather, f"node long, doc_id {key}, n long, tokens array<long>")
+    return told.groupBy("piece").applyInPandas(gather, f"node long, doc_id {key}, mark long, n long, tokens array<long>")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -213,7 +215,7 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """(node, doc_id, n_shingles, component): one row per document.
+    """(node, doc_id, mark, n_shingles, component): one row per document.
 
     Two documents link when their sets of shingles (lower-cased for A-Z) have a Jaccard
     similarity of 0.75 or more. ``component`` is the smallest node (row number) of
@@ -265,7 +267,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     more = _checked(open_pairs, sets)
     reached = components(links.union(more).union(copies))
     return every.join(reached, "node", "left").select(
-        "node", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component")
+        "node", "doc_id", "mark", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component")
     )
 
 
@@ -274,3 +276,16 @@ def document_components(docs: DataFrame) -> DataFrame:
     found = materialise(similar_documents(docs), "similar")
     least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return found.join(least, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents less all but one of each component: the one of smallest doc_id (NULL last), then row number."""
+    found = materialise(similar_documents(docs), "similar")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("f"))
+    stay = found.join(first.select(F.col("f.node").alias("node")), "node", "left_semi")
+    stay = stay.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.count("*").alias("_rows"))
+    equal = Window.partitionBy("_id", "_mark").orderBy("_rows")
+    return (
+        docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark")))
+        .withColumn("_row", F.row_number().over(equal)).where("_row <= _rows").select(*docs.columns)
+    )

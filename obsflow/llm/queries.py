@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from obsflow.llm import (
-    bpe, mixing, nearest, ngram_join, quality_rules, token_counts, token_files, toxicity, url_filter,
+    bpe, mixing, nearest, ngram_join, quality_rules, substring_dedup, token_counts, token_files, toxicity, url_filter,
 )
 from obsflow.llm.common import table
 
@@ -55,6 +55,10 @@ def op7_source_mixing(spark, sf_dir):
     )
 
 
+def op8_substring_dedup(spark, sf_dir):
+    return substring_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op9_nearest_vectors(spark, sf_dir):
     return nearest.nearest_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_source_mixing": op7_source_mixing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_nearest_vectors": op9_nearest_vectors,
     "op10_bpe": op10_bpe,
 }
