@@ -9,6 +9,8 @@ further bits) and the value's place in the piece as a difference to the one befo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -16,6 +18,7 @@ import xxhash
 from obsflow.llm.common import mixed
 
 PIECE = 4 << 20
+SLICE = 400_000
 #: Counted for a document besides its text, so that a piece has under 2 ** 16 documents.
 DOCUMENT = 128
 _FACTOR = 0x9E6C63D0876A9A99
@@ -76,6 +79,32 @@ def unpacked(bucket: int, places: bytes, low: bytes) -> tuple[np.ndarray, np.nda
     return wide.view("<u8").reshape(-1) | np.uint64(bucket << 40), np.cumsum(steps, dtype=np.int64)
 
 
+def flat(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values and places of all rows (bucket, places, low) in a row, and where each row begins and the last ends."""
+    bounds = np.concatenate(([0], np.cumsum(rows["low"].str.len().to_numpy(np.int64) // 5)))
+    values, places = np.empty(bounds[-1], np.uint64), np.empty(bounds[-1], np.uint32)
+    for k, (bucket, steps, low) in enumerate(zip(rows["bucket"], rows["places"], rows["low"], strict=True)):
+        values[bounds[k] : bounds[k + 1]], places[bounds[k] : bounds[k + 1]] = unpacked(bucket, steps, low)
+    return values, places, bounds
+
+
+def slices(values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Equal values together, a slice of about SLICE values at a time, which bounds what is held.
+
+    Yields the positions in ``values``, the order that sorts the slice, and the starts of
+    the groups of equals in that order.
+    """
+    n = len(values) // SLICE + 1
+    kind = (mixed(values) % np.uint64(n)).astype(np.uint16) if n > 1 else np.zeros(len(values), np.uint16)
+    for k in range(n):
+        at = np.flatnonzero(kind == k)
+        if len(at):
+            chosen = values[at]
+            order = np.argsort(chosen, kind="stable")
+            ranked = chosen[order]
+            yield at, order, np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+
+
 def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts the values, and the start of each group of equals in it."""
     order = np.argsort(values, kind="stable")

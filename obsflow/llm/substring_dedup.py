@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.llm.common import partitions, text_batches
-from obsflow.llm.exchange import grouped, pieces, rows_by_bucket, unpacked, windows_within, word_values
+from obsflow.llm.exchange import flat, pieces, rows_by_bucket, slices, windows_within, word_values
 from obsflow.scratch import materialise
 
 WINDOW = 50
@@ -154,25 +154,25 @@ def window_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         rows = rows[rows["low"].notna()]
         if len(rows) == 0:
             return
-        parts = [unpacked(b, p, v) for b, p, v in zip(rows["bucket"], rows["places"], rows["low"], strict=True)]
-        owner = np.concatenate([
-            np.repeat(np.frombuffer(o, "<i8"), np.frombuffer(n, "<u4")) for o, n in zip(rows["owners"], rows["owned"], strict=True)
-        ])
-        order, starts = grouped(np.concatenate([v for v, _ in parts]))
-        ranked = owner[order]
-        least, most = np.minimum.reduceat(ranked, starts), np.maximum.reduceat(ranked, starts)
-        sizes = np.diff(np.append(starts, len(order)))
-        first, repeated = np.empty(len(order), np.int64), np.empty(len(order), bool)
-        first[order], repeated[order] = np.repeat(least, sizes), np.repeat(least < most, sizes)
-        at = 0
-        for piece, (v, place) in zip(rows["piece"], parts, strict=True):
-            some = repeated[at : at + len(v)]
-            if some.any():
-                yield pd.DataFrame({
-                    "piece": [piece], "docs": [None], "places": [place[some].astype("<u4").tobytes()],
-                    "firsts": [first[at : at + len(v)][some].astype("<i8").tobytes()],
-                })
-            at += len(v)
+        pieces_, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows)
+        owners = np.frombuffer(b"".join(rows["owners"]), "<i8")
+        owner = np.repeat(np.arange(len(owners), dtype=np.uint32), np.frombuffer(b"".join(rows["owned"]), "<u4"))
+        del rows, held
+        for at, order, starts in slices(values):
+            ranked = owners[owner[at]][order]
+            least, most = np.minimum.reduceat(ranked, starts), np.maximum.reduceat(ranked, starts)
+            sizes = np.diff(np.append(starts, len(order)))
+            first, repeated = np.empty(len(order), np.int64), np.empty(len(order), bool)
+            first[order], repeated[order] = np.repeat(least, sizes), np.repeat(least < most, sizes)
+            at, first = at[repeated], first[repeated]
+            place = places[at]
+            cuts = np.searchsorted(at, bounds)
+            some = np.flatnonzero(np.diff(cuts))
+            yield pd.DataFrame({
+                "piece": pieces_[some], "docs": None,
+                "places": pd.Series([place[cuts[k] : cuts[k + 1]].astype("<u4").tobytes() for k in some], dtype=object),
+                "firsts": pd.Series([first[cuts[k] : cuts[k + 1]].astype("<i8").tobytes() for k in some], dtype=object),
+            })
 
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         book = frame[frame["places"].isna()].iloc[0]["docs"]
@@ -186,7 +186,7 @@ def window_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         who = np.searchsorted(ends, place, side="right")
         new = np.concatenate(([True], (place[1:] != place[:-1] + 1) | (first[1:] != first[:-1]) | (who[1:] != who[:-1])))[: len(place)]
         cut = np.flatnonzero(new)
-        stop = np.append(cut[1:], len(place)) - 1
+        stop = np.append(cut, len(place))[1:] - 1
         runs: list[list] = [[] for _ in book]
         for a, z in zip(cut, stop, strict=True):
             d = who[a]
