@@ -7,7 +7,7 @@ an observation.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +61,11 @@ def iso_seconds(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+def naive_run_ts(run_ts: datetime) -> datetime:
+    """The run's clock without a zone; one with a zone is brought to UTC first."""
+    return run_ts if run_ts.tzinfo is None else run_ts.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def run_time(run_ts: datetime) -> Column:
     """The run's clock as a literal: naive -> TIMESTAMP_NTZ, aware -> TIMESTAMP."""
     if run_ts.tzinfo is None:

@@ -5,6 +5,10 @@ expression that lists what is wrong with it, so the check is a single narrow
 projection: no UDF, no shuffle. The check never blocks; a violating payload is
 still kept unless the caller asks for :func:`conforming` rows only.
 
+A contract is open unless said otherwise: further keys are reported as drift, but set no
+payload aside. With ``closed`` they do. A whole number is one written without a decimal
+point, as the reader has it: ``5.0`` is no value of an integer field.
+
 Kinds: ``corrupt`` (not a JSON document), ``missing`` (a required field is
 absent), ``wrong_type``, ``unknown_key``.
 """
@@ -52,13 +56,10 @@ def _none() -> Column:
 
 
 def _kind(value: Column) -> Column:
-    """STRING, BOOLEAN, BIGINT, DOUBLE, VOID, OBJECT or ARRAY; ``1.0`` is a BIGINT."""
+    """STRING, BOOLEAN, BIGINT, DOUBLE, VOID, OBJECT or ARRAY; ``1.0`` is a DOUBLE."""
     return _let(
         F.schema_of_variant(value),
-        lambda name: F.when(
-            name.startswith("DECIMAL"), F.when(name.endswith(",0)"), "BIGINT").otherwise("DOUBLE")
-        )
-        .when(name == "FLOAT", "DOUBLE")
+        lambda name: F.when(name.startswith("DECIMAL") | (name == "FLOAT"), "DOUBLE")
         .otherwise(F.substring_index(name, "<", 1)),
     )
 
@@ -153,11 +154,16 @@ def contract_violations(df: DataFrame, text: str, schema: T.StructType, keep=())
     return checked.select(*keep, F.inline("_found"))
 
 
-def conforming(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
-    """Payloads without any violation (the strict mode)."""
-    return with_violations(df, text, schema, "_found").where(F.size("_found") == 0).drop("_found")
+def _aside(found: str, closed: bool) -> Column:
+    """Whether what was found sets a payload aside."""
+    return F.size(found) > 0 if closed else F.exists(found, lambda v: v["kind"] != "unknown_key")
+
+
+def conforming(df: DataFrame, text: str, schema: T.StructType, *, closed: bool = False) -> DataFrame:
+    """Payloads that nothing sets aside (the strict mode)."""
+    return with_violations(df, text, schema, "_found").where(~_aside("_found", closed)).drop("_found")
 
 
-def violating(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
+def violating(df: DataFrame, text: str, schema: T.StructType, *, closed: bool = False) -> DataFrame:
     """The payloads strict mode sets aside, with what is wrong with them."""
-    return with_violations(df, text, schema).where(F.size("violations") > 0)
+    return with_violations(df, text, schema).where(_aside("violations", closed))

@@ -7,16 +7,18 @@ apart into two equality lookups whose smaller id wins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.operators.lookup import (
     BROADCAST_BYTES,
+    all_present,
     first_id_by,
     lookup,
     measured_bytes,
 )
-from obsflow.scratch import materialise
 
 
 def lookup_location(
@@ -26,28 +28,42 @@ def lookup_location(
     *,
     use_city: bool = True,
     use_coords: bool = True,
+    carry: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the smallest id of the locations that match by city or by coordinates.
 
-    NULL never matches; an unresolved row keeps a NULL id.
+    NULL never matches; an unresolved row keeps a NULL id. With ``carry`` the result is
+    a struct of the id and these columns of the location.
+
+    Locations that are not small are looked up for distinct places only, and the places
+    joined back to the rows: a frequent place is one row before any shuffle.
     """
     known = locations.select("id", "city", "lat", "long")
     # Keys are at most as many as stored rows, so this bounds both lookups.
     small = measured_bytes(known) <= broadcast_bytes
-    found = []
-    resolved = rows
-    if use_city:
-        by_city = first_id_by(known, ["city"], "id", "_id_by_city")
-        resolved = lookup(resolved, by_city, ["city"], broadcast=small, counted=rows)
-        found.append("_id_by_city")
-    if use_coords:
-        by_coords = first_id_by(known, ["lat", "long"], "id", "_id_by_coords")
-        resolved = lookup(resolved, by_coords, ["lat", "long"], broadcast=small, counted=rows)
-        found.append("_id_by_coords")
-    # least() skips NULLs but wants two arguments.
-    best = F.least(*found) if len(found) > 1 else F.col(found[0])
-    return resolved.withColumn(out, best).drop(*found)
+    value = F.struct("id", *carry) if carry else F.col("id")
+
+    def resolved(places: DataFrame) -> DataFrame:
+        found = []
+        sides = [(use_city, ["city"], "_by_city"), (use_coords, ["lat", "long"], "_by_coords")]
+        for used, on, name in sides:
+            if used:
+                one = known.where(all_present(on)).groupBy(*on).agg(F.min(value).alias(name))
+                places = lookup(places, one, on, broadcast=small)
+                found.append(name)
+        # least() skips NULLs but wants two arguments.
+        best = F.least(*found) if len(found) > 1 else F.col(found[0])
+        return places.withColumn(out, best).drop(*found)
+
+    if small:
+        return resolved(rows)
+    on = [c for c, used in (("city", use_city), ("lat", use_coords), ("long", use_coords)) if used]
+    # A struct is never NULL itself, so places with gaps find themselves again.
+    placed = rows.withColumn("_place", F.struct(*on))
+    places = placed.groupBy("_place").agg(F.count(F.lit(1)).alias("_rows"))
+    found = resolved(places.select("_place", "_place.*")).select("_place", out)
+    return lookup(placed, found, ["_place"], broadcast=False, counted=placed).drop("_place")
 
 
 def lookup_country(
@@ -55,16 +71,19 @@ def lookup_country(
     countries: DataFrame,
     out: str = "country_id",
     *,
+    aliases: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the smallest id of the countries with the row's country name.
 
-    A country also answers to the name it was requested by, if the table keeps it.
+    A country also answers to the name it was requested by, if the table keeps it, and
+    to its ``aliases`` (alias, country_id).
     """
     names = countries.select("id", F.col("name").alias("country"))
     if "requested_as" in countries.columns:
-        aliases = countries.select("id", F.col("requested_as").alias("country"))
-        names = names.unionByName(aliases)
+        names = names.unionByName(countries.select("id", F.col("requested_as").alias("country")))
+    if aliases is not None:
+        names = names.union(aliases.select("country_id", "alias"))
     small = measured_bytes(names) <= broadcast_bytes
     return lookup(rows, first_id_by(names, ["country"], "id", out), ["country"], broadcast=small)
 
@@ -89,14 +108,6 @@ def fill_from_dimension(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Fill NULL identity fields from the location the row resolves to."""
-    resolved = lookup_location(rows, locations, "_location", broadcast_bytes=broadcast_bytes)
-    stored = locations.select(
-        F.col("id").alias("_location"), *[F.col(c).alias(f"_stored_{c}") for c in columns]
-    )
-    small = measured_bytes(stored) <= broadcast_bytes
-    if not small:
-        # The next lookup counts its keys first: do not resolve the rows twice.
-        resolved = materialise(resolved, "resolved")
-    joined = lookup(resolved, stored, ["_location"], broadcast=small)
-    filled = joined.withColumns({c: F.coalesce(c, f"_stored_{c}") for c in columns})
+    resolved = lookup_location(rows, locations, "_location", carry=columns, broadcast_bytes=broadcast_bytes)
+    filled = resolved.withColumns({c: F.coalesce(c, f"_location.{c}") for c in columns})
     return filled.select(*rows.columns)

@@ -42,11 +42,27 @@ def insert_missing_countries(
     found = unknown.join(payloads, "requested_as").join(
         countries.select("name"), "name", "left_anti"
     )
-    once = first_per_key(found, ["name"], [F.col("requested_as")])
     columns = ["name", "capital", "language", "tz_utc", "region", "continent", "requested_as"]
+    rest = [F.asc_nulls_last(c) for c in columns if c not in ("name", "requested_as")]
+    once = first_per_key(found, ["name"], [F.col("requested_as"), *rest])
     return audit_stamp(once.select(*columns), run_ts)
 
 
+def new_aliases(
+    rows: DataFrame, countries: DataFrame, aliases: DataFrame, payloads: DataFrame
+) -> DataFrame:
+    """Further names (alias, country_id) under which rows ask for stored countries.
+
+    Each name that a payload answers with another name is kept, so that it resolves
+    in this hour and in later ones that bring no payload for it.
+    """
+    wanted = rows.where(F.col("country").isNotNull()).select(F.col("country").alias("requested_as")).distinct()
+    named = wanted.join(payloads.select("requested_as", "name"), "requested_as").where("requested_as <> name")
+    ids = countries.groupBy("name").agg(F.min("id").alias("country_id"))
+    found = named.join(ids, "name").groupBy(F.col("requested_as").alias("alias")).agg(F.min("country_id").alias("country_id"))
+    return found.join(aliases.select("alias"), "alias", "left_anti").select("alias", "country_id")
+
+
 def unknown_locations(
     rows: DataFrame, locations: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -59,12 +75,16 @@ def unknown_locations(
 def one_per_place(rows: DataFrame) -> DataFrame:
     """One row per city; a row without a city counts by its coordinates.
 
-    The row with the fewest gaps at the front of the order is kept.
+    The row with the fewest gaps at the front of the order is kept. A row without a city
+    at the coordinates of one with a city is that place and goes too.
     """
     nameless = F.col("city").isNull()
     key = [F.col("city"), F.when(nameless, F.col("lat")), F.when(nameless, F.col("long"))]
     rest = ("lat", "long", "country", "region", "tz_id")
-    return first_per_key(rows, key, [F.asc_nulls_last(c) for c in rest])
+    once = first_per_key(rows, key, [F.asc_nulls_last(c) for c in rest])
+    named = once.where("city IS NOT NULL").select("lat", "long").distinct()
+    unnamed = once.where("city IS NULL").join(named, ["lat", "long"], "left_anti")
+    return once.where("city IS NOT NULL").unionByName(unnamed)
 
 
 def new_locations(
@@ -74,6 +94,7 @@ def new_locations(
     run_ts: datetime,
     *,
     dedup: bool = True,
+    aliases: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Locations to insert, with their country key and the audit stamp.
@@ -86,7 +107,7 @@ def new_locations(
     fresh = unknown_locations(rows, locations, broadcast_bytes=broadcast_bytes)
     if dedup:
         fresh = one_per_place(fresh)
-    keyed = lookup_country(fresh, countries, broadcast_bytes=broadcast_bytes).drop("country")
+    keyed = lookup_country(fresh, countries, aliases=aliases, broadcast_bytes=broadcast_bytes).drop("country")
     return audit_stamp(keyed, run_ts)
 
 

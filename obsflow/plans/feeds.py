@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions.text import empty_to_null
-from obsflow.functions.times import as_wall_clock, parse_clock
+from obsflow.functions.times import as_wall_clock, naive_run_ts, parse_clock, run_time, with_hour_bucket
 from obsflow.operators.flatten import drop_all_empty_lists, explode_tagged, flatten_mapped
 from obsflow.operators.quality import identifiable_rows, is_identifiable
 from obsflow.schemas import (
     ASTRONOMY_FIELDS,
     CURRENT_FIELDS,
+    HOUR_BUCKET,
     IDENTITY_FIELDS,
     MARINE_DAY_FIELDS,
     PROCESSED,
     SPORTS,
+    bucketed,
 )
+from obsflow.sinks.tables import write_hour_partitions
+from obsflow.sources.landing import hour_bucket_scan
 
 
 def parse_times(df: DataFrame, names=("last_updated", "localtime")) -> DataFrame:
@@ -26,16 +31,17 @@ def parse_times(df: DataFrame, names=("last_updated", "localtime")) -> DataFrame
     return df.withColumns({name: as_wall_clock(F.col(name)) for name in names})
 
 
-def trim_current(df: DataFrame) -> DataFrame:
-    """The 23 columns of a processed observation, the condition taken apart."""
+def trim_current(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 23 columns of a processed observation, the condition taken apart, and those to keep."""
     flat = df.withColumns(
         {"condition": F.col("condition.text"), "condition_code": F.col("condition.code")}
     )
-    return flat.select(*PROCESSED.names)
+    return flat.select(*PROCESSED.names, *keep)
 
 
-def current_feed(raw: DataFrame) -> DataFrame:
-    return trim_current(identifiable_rows(parse_times(flatten_mapped(raw, CURRENT_FIELDS))))
+def current_feed(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    flat = parse_times(flatten_mapped(raw, CURRENT_FIELDS, keep=keep))
+    return trim_current(identifiable_rows(flat), keep)
 
 
 def _identified(df: DataFrame) -> DataFrame:
@@ -113,19 +119,25 @@ def process(raw: DataFrame, method: str) -> DataFrame:
     return FEED_PLANS[method](raw)
 
 
-def transform_feeds(spark: SparkSession, frames: Mapping[str, DataFrame], root: str) -> DataFrame:
-    """Transform each feed into a table below ``root`` and report the outcomes.
+def transform_feeds(
+    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, run_ts: datetime
+) -> DataFrame:
+    """Transform each feed into the run's hour of its table below ``root`` and report the outcomes.
 
-    A feed that fails does not stop the others. One row per feed: method,
-    status, rows written, error.
+    A feed that fails does not stop the others and leaves its table as it was; other
+    hours stay as they are in any case. One row per feed: method, status, rows written,
+    error.
     """
+    run_ts = naive_run_ts(run_ts)
     outcomes = []
     for method, raw in frames.items():
         label = F.lit(method).alias("method")
         try:
             target = f"{root}/{method}"
-            process(raw, method).write.mode("overwrite").parquet(target)
-            written = spark.read.parquet(target)
+            rows = with_hour_bucket(process(raw, method), method, run_time(run_ts))
+            write_hour_partitions(rows, target)
+            stored = spark.read.schema(bucketed(rows.drop(*HOUR_BUCKET).schema)).parquet(target)
+            written = hour_bucket_scan(stored, method, run_ts)
             outcomes.append(
                 written.agg(F.count(F.lit(1)).alias("rows")).select(
                     label, F.lit("done").alias("status"), "rows", F.lit(None).cast("string").alias("error")
@@ -140,7 +152,7 @@ def transform_feeds(spark: SparkSession, frames: Mapping[str, DataFrame], root:
                     F.lit(str(error)).alias("error"),
                 )
             )
-    report = outcomes[0]
-    for outcome in outcomes[1:]:
+    report = spark.createDataFrame([], "method string, status string, rows long, error string")
+    for outcome in outcomes:
         report = report.unionByName(outcome)
     return report

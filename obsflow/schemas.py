@@ -224,6 +224,9 @@ WEATHERS = struct(
 )
 
 
+ALIASES = struct(("alias", STRING), ("country_id", LONG))
+
+
 def bucketed(schema: T.StructType) -> T.StructType:
     """A table's schema with the partition columns of an hour bucket."""
     return struct(*[(f.name, f.dataType) for f in schema], *BUCKET_FIELDS)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +24,34 @@ def scratch_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="obsflow-")
 
 
+# Paths given out inside each open ``temporary`` block.
+_open_blocks: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for one intermediate table."""
-    return f"{scratch_root(spark).rstrip('/')}/obsflow/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/obsflow/{label}-{uuid.uuid4().hex}"
+    for block in _open_blocks:
+        block.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what this library writes to scratch inside the block.
+
+    Only the paths given out inside are removed. Frames that read them must have been
+    written or counted before the block ends.
+    """
+    made: list[str] = []
+    _open_blocks.append(made)
+    try:
+        yield
+    finally:
+        _open_blocks.remove(made)
+        for path in made:
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsflow.functions.text import empty_to_null
 from obsflow.functions.times import minute_bucket, with_hour_bucket
 from obsflow.operators.latest import first_per_key
+from obsflow.operators.lookup import BROADCAST_BYTES, measured_bytes
 from obsflow.schemas import HOUR_BUCKET
-from obsflow.sources.landing import read_partitions, read_table
+from obsflow.sources.landing import read_table
 
-# Up to this many partitions are opened folder by folder.
-MAX_FOLDERS = 1000
+# A write of many small partitions is dealt to about this many tasks per core.
+WRITE_TASKS_PER_CORE = 2
 
 
 def write_hour_partitions(
@@ -41,26 +43,29 @@ def write_hour_partitions(
     )
 
 
-def _stored_rows(batch: DataFrame, path: str, by: Sequence[str], fmt: str) -> DataFrame | None:
+def _stored_rows(batch: DataFrame, path: str, by: Sequence[str], fmt: str) -> DataFrame:
     """Stored rows of the partitions a batch touches; ``by`` is the method, then the time.
 
-    A batch of few partitions has them read from their folders. One of many is
-    matched against the part of the table between its first and last time.
+    The table is read with its declared schema. Bounds on the time prune its partitions,
+    whatever their number, and the touched ones are matched by value: names of folders
+    play no part, so any text can be a method.
     """
     spark = batch.sparkSession
     touched = batch.select(*by).distinct()
-    few = touched.take(MAX_FOLDERS + 1)
-    if len(few) <= MAX_FOLDERS:
-        return read_partitions(spark, path, batch.schema, by, few, fmt=fmt)
     time = F.struct(*by[1:])
-    first, last = touched.agg(F.min(time), F.max(time)).first()
+    first, last, size = touched.agg(F.min(time), F.max(time), F.count(F.lit(1))).first()
+    stored = read_table(spark, path, batch.schema, fmt=fmt)
+    if size == 0:
+        return stored.limit(0)
     bound = lambda row: F.struct(*[F.lit(v).cast("int").alias(c) for c, v in row.asDict().items()])
-    stored = read_table(spark, path, batch.schema, fmt=fmt).where(time.between(bound(first), bound(last)))
+    stored = stored.where(time.between(bound(first), bound(last)))
     same = [F.col(f"stored.{c}").eqNullSafe(F.col(f"touched.{c}")) for c in by]
+    if measured_bytes(touched) <= BROADCAST_BYTES:
+        touched = F.broadcast(touched)
     return stored.alias("stored").join(touched.alias("touched"), same, "left_semi")
 
 
-def _merge(
+def merge_rows(
     batch: DataFrame,
     path: str,
     by: Sequence[str],
@@ -75,10 +80,8 @@ def _merge(
     Only the partitions the batch has rows for are read and written again.
     """
     batch = batch.select(*[c for c in batch.columns if c not in by], *by)
-    rows = batch.withColumn("_age", F.lit(0))
     stored = _stored_rows(batch, path, by, fmt)
-    if stored is not None:
-        rows = rows.unionByName(stored.withColumn("_age", F.lit(1)))
+    rows = batch.withColumn("_age", F.lit(0)).unionByName(stored.withColumn("_age", F.lit(1)))
     kept = first_per_key(rows, keys, [F.asc("_age"), *order]).drop("_age")
     write_hour_partitions(kept, path, by, sort_by=sort_by, fmt=fmt)
 
@@ -93,10 +96,13 @@ def land_raw(
     tie: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> None:
-    """Land payloads in hour buckets; within one, the last payload of a requested city stays."""
-    bucketed = with_hour_bucket(payloads, F.col(method), F.col(ts))
+    """Land payloads in hour buckets; within one, the last payload of a requested city stays.
+
+    An empty method is stored as NULL, which is what a partition's folder makes of it.
+    """
+    bucketed = with_hour_bucket(payloads, empty_to_null(F.col(method)), F.col(ts))
     order = [F.desc_nulls_last(c) for c in (ts, *tie)]
-    _merge(bucketed, path, HOUR_BUCKET, [*HOUR_BUCKET, city], order, fmt=fmt)
+    merge_rows(bucketed, path, HOUR_BUCKET, [*HOUR_BUCKET, city], order, fmt=fmt)
 
 
 def land_raw_minute(
@@ -114,13 +120,13 @@ def land_raw_minute(
     minute would leave files of a few rows, while the files' statistics skip
     other minutes just as well.
     """
-    bucketed = with_hour_bucket(payloads, F.col(method), F.col(ts)).withColumn(
+    bucketed = with_hour_bucket(payloads, empty_to_null(F.col(method)), F.col(ts)).withColumn(
         "minute_bucket", minute_bucket(F.col(ts))
     )
     order = [F.desc_nulls_last(c) for c in (ts, *tie)]
     by = ["method", "year", "month", "day"]
     keys = [*by, "minute_bucket", city]
-    _merge(bucketed, path, by, keys, order, sort_by=["minute_bucket"])
+    merge_rows(bucketed, path, by, keys, order, sort_by=["minute_bucket"])
 
 
 def append_table(df: DataFrame, path: str) -> None:

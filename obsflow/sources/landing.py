@@ -16,6 +16,8 @@ from obsflow.schemas import HOUR_BUCKET
 CORRUPT = "_corrupt_record"
 # Spark's folder name for a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Characters that Spark writes as %XX in a folder name. Fixed value.
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
 def scan_json(
@@ -55,30 +57,21 @@ def read_table(
         return _empty(spark, schema)
 
 
-def read_partitions(
-    spark: SparkSession,
-    root: str,
-    schema: T.StructType,
-    by: Sequence[str],
-    partitions: Sequence[Sequence],
-    *,
-    fmt: str = "parquet",
-) -> DataFrame | None:
-    """Read some partitions from their folders, without listing the rest of the table.
+def partition_folder(by: Sequence[str], values: Sequence) -> str:
+    """Folder of one partition, named as Spark's writer names it."""
+    escaped = lambda v: "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in str(v))
+    return "/".join(
+        f"{c}={NULL_PARTITION if v is None or v == '' else escaped(v)}" for c, v in zip(by, values)
+    )
 
-    ``partitions`` holds the values of the partition columns ``by``: numbers and
-    plain words. Those that do not exist are passed over; None if none exists.
-    """
-    folders = [
-        "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(by, values))
-        for values in partitions
-    ]
-    if not folders:
-        return None
-    pattern = folders[0] if len(folders) == 1 else "{" + ",".join(folders) + "}"
+
+def read_partition(
+    spark: SparkSession, root: str, schema: T.StructType, by: Sequence[str], values: Sequence, *, fmt: str = "parquet"
+) -> DataFrame | None:
+    """Read one partition from its folder, without listing the rest of the table; None if it does not exist."""
     reader = spark.read.schema(schema).option("basePath", root).format(fmt)
     try:
-        return reader.load(f"{root}/{pattern}")
+        return reader.load(f"{root}/{partition_folder(by, values)}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -101,7 +94,7 @@ def read_hour_bucket(
     ``schema`` names the partition columns too.
     """
     bucket = (method, when.year, when.month, when.day, when.hour)
-    found = read_partitions(spark, root, schema, HOUR_BUCKET, [bucket], fmt=fmt)
+    found = read_partition(spark, root, schema, HOUR_BUCKET, bucket, fmt=fmt)
     if found is None and strict:
         raise ValueError(f"no data landed for {method} in the hour of {when:%Y-%m-%d %H}:00")
     return _empty(spark, schema) if found is None else found

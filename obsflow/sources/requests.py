@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsflow.functions.times import naive_run_ts
 from obsflow.schemas import REQUEST_METHODS
 
 
@@ -28,3 +30,16 @@ def missing_payloads(
     Landed rows are reduced to their distinct keys first, before any shuffle.
     """
     return grid.join(landed.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def missing_in_hour(grid: DataFrame, landed: DataFrame, when: datetime) -> DataFrame:
+    """Requests of the grid for which nothing has landed in one hour.
+
+    ``landed`` has the partition columns of the landing, by which other hours are pruned.
+    """
+    when = naive_run_ts(when)
+    hour = landed.where(
+        (F.col("year") == when.year) & (F.col("month") == when.month)
+        & (F.col("day") == when.day) & (F.col("hour") == when.hour)
+    )
+    return missing_payloads(grid, hour)

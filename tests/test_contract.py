@@ -32,7 +32,7 @@ def changed(**parts):
     [
         json.dumps(GOOD),
         changed(n=None, d=2, items=None),
-        changed(n=5.0),
+        changed(d=5.0),
         changed(items=[]),
         json.dumps({"name": "", "o": {"x": -3}}),
         changed(d=1e300, tags={}),

@@ -1,5 +1,6 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from obsflow.functions.documents import country_records
 from obsflow.plans import dimensions, feeds
 from obsflow.plans.facts import fact_with_fk
-from obsflow.plans.hourly import Lakehouse, run_hour
+from obsflow.plans.hourly import Lakehouse, run_hour, run_landed_hour
 from obsflow.schemas import (
     COUNTRIES,
     LOCATIONS,
@@ -18,6 +19,7 @@ from obsflow.schemas import (
     RAW_MARINE,
     RAW_SPORTS,
 )
+from obsflow.scratch import scratch_root
 
 RUN = datetime(2024, 1, 1, 9)
 
@@ -119,6 +121,7 @@ def test_one_failing_feed_does_not_stop_the_others(spark, tmp_path):
         spark,
         {"lightning": good, "sports": good, "astronomy": breaks, "current": good},
         str(tmp_path / "out"),
+        RUN,
     )
     assert rows(report.select("method", "status", "rows")) == [
         ("astronomy", "failed", 0), ("current", "done", 2), ("lightning", "failed", 0), ("sports", "failed", 0)
@@ -126,6 +129,82 @@ def test_one_failing_feed_does_not_stop_the_others(spark, tmp_path):
     assert report.where("status = 'failed' AND error IS NULL").count() == 0
 
 
+def test_feeds_keep_their_hours_and_a_failing_run_changes_nothing(spark, tmp_path):
+    good = frame(spark, RAW_CURRENT, current("a"), current("b"))
+    breaks = good.withColumn("location", F.raise_error(F.lit("unreadable")).cast(RAW_CURRENT["location"].dataType))
+    out, later = str(tmp_path / "out"), RUN.replace(hour=RUN.hour + 1)
+    for raw, when in ((good, RUN), (good.limit(1), later), (breaks, later), (breaks, RUN)):
+        feeds.transform_feeds(spark, {"current": raw}, out, when)
+    stored = spark.read.parquet(f"{out}/current").groupBy("hour").count()
+    assert sorted(map(tuple, stored.collect())) == [(RUN.hour, 2), (later.hour, 1)]
+    assert feeds.transform_feeds(spark, {}, out, RUN).count() == 0
+
+
+def raw_with_times(spark, *docs):
+    df = frame(spark, RAW_CURRENT, *docs)
+    return df.withColumns({
+        "method": F.lit("current"), "ingest_ts": F.lit("2024-01-01 09:30:00").cast("timestamp_ntz"),
+        "obs_id": F.monotonically_increasing_id(),
+    })
+
+
+def test_a_city_twice_in_an_hour_gives_one_fact(spark, tmp_path):
+    raw = raw_with_times(spark, current("a", temp=1.0), current("a", temp=2.0), current("b"))
+    facts = run_hour(spark, raw, Lakehouse(str(tmp_path / "h")), payloads(spark), RUN)
+    assert sorted(r.temp_c for r in facts.collect()) == [2.0, 20.5]
+
+
+def test_a_run_leaves_nothing_in_scratch(spark, tmp_path):
+    root = Path(scratch_root(spark)) / "obsflow"
+    before = set(root.glob("*"))
+    run_hour(spark, raw_with_times(spark, current("a")), Lakehouse(str(tmp_path / "h")), payloads(spark), RUN)
+    assert set(root.glob("*")) == before
+
+
+def test_run_time_with_a_zone_is_brought_to_utc(spark, tmp_path):
+    zoned = datetime(2024, 1, 1, 9, tzinfo=timezone(timedelta(hours=5)))
+    facts = run_hour(spark, raw_with_times(spark, current("a")), Lakehouse(str(tmp_path / "h")), payloads(spark), zoned)
+    assert [r.created_at for r in facts.collect()] == [datetime(2024, 1, 1, 4)]
+
+
+def test_landing_to_facts(spark, tmp_path):
+    house = Lakehouse(str(tmp_path / "h"))
+    texts = [
+        ("current", "x", 9, json.dumps(current("a", temp=1.0))), ("current", "x", 9, json.dumps(current("a", temp=2.0))),
+        ("current", "y", 10, json.dumps(current("b"))), ("sports", "x", 9, json.dumps({"golf": []})), ("", "x", 9, "{}"),
+    ]
+    batch = spark.createDataFrame(
+        [(m, c, datetime(2024, 1, 1, h, i), t) for i, (m, c, h, t) in enumerate(texts)],
+        "method string, city string, ingest_ts timestamp_ntz, payload string",
+    )
+    for hour, expected in ((9, [2.0]), (10, [20.5])):
+        report = run_landed_hour(spark, batch, house, payloads(spark), datetime(2024, 1, 1, hour))
+        methods = [("current", "done")] + [("sports", "done")] * (hour == 9)
+        assert rows(report.select("method", "status")) == methods
+        facts = spark.read.parquet(house.weathers).where(F.col("hour") == hour)
+        assert [r.temp_c for r in facts.collect()] == expected
+    assert run_landed_hour(spark, batch, house, payloads(spark), datetime(2024, 1, 1, 11)).count() == 0
+
+
+def test_every_alias_resolves_now_and_later(spark, tmp_path):
+    house = Lakehouse(str(tmp_path / "h"))
+    texts = {"Holland": "Holland", "The Netherlands": "Holland", "Chad": "Chad"}
+    answers = spark.createDataFrame([(k, COUNTRY_TEXTS[v]) for k, v in texts.items()], "requested_as string, t string")
+    first = raw_with_times(spark, current("p", country="Holland"), current("q", lat=7.0, country="The Netherlands"))
+    run_hour(spark, first, house, country_records(answers, "t"), RUN)
+    second = raw_with_times(spark, current("r", lat=8.0, country="The Netherlands"), current("s", lat=9.0, country="Netherlands"))
+    run_hour(spark, second, house, country_records(answers, "t").limit(0), RUN.replace(hour=RUN.hour + 1))
+    ids = spark.read.parquet(house.locations).select("city", "country_id")
+    assert rows(ids) == [("p", 1), ("q", 1), ("r", 1), ("s", 1)]
+
+
+def test_named_and_nameless_row_of_one_new_place_give_one_location(spark):
+    seen = spark.createDataFrame([("d", "X", "r", 4.0, 2.0, "z"), (None, "X", "r", 4.0, 2.0, "z")], PROCESSED)
+    none = spark.createDataFrame([], "id bigint, city string, lat double, long double")
+    once = dimensions.new_locations(seen, none, spark.createDataFrame([], "id bigint, name string"), RUN)
+    assert rows(once.select("city")) == [("d",)]
+
+
 def payloads(spark):
     texts = spark.createDataFrame(list(COUNTRY_TEXTS.items()), "requested_as string, t string")
     return country_records(texts, "t")

@@ -1,4 +1,5 @@
 import json
+import os
 import re
 from datetime import datetime
 from pathlib import Path
@@ -13,6 +14,7 @@ from obsflow import scratch
 from obsflow.functions.times import with_hour_bucket
 from obsflow.plans.feeds import current_feed
 from obsflow.schemas import HOUR_BUCKET, LOCATIONS, RAW_CURRENT
+from obsflow.schemas import bucketed as bucketed_schema
 from obsflow.sinks import tables
 from obsflow.sources import landing, requests
 from obsflow.streaming.incremental import incremental_load
@@ -89,9 +91,19 @@ def test_land_raw_keeps_the_last_payload_and_replaces_only_its_hours(spark, tmp_
         assert read() == [("a", 1, 7), ("a", 2, 4), ("b", 1, 3), ("c", 2, 9)]
 
 
-@pytest.mark.parametrize("folders", [1000, 1])
-def test_merge_by_folder_and_by_match_agree(spark, tmp_path, monkeypatch, folders):
-    monkeypatch.setattr(tables, "MAX_FOLDERS", folders)
+@pytest.mark.parametrize("method", ["current", "air:quality", "x=y", "p/q", "{m}", "a b", "100%", "", None])
+def test_a_second_batch_of_an_hour_keeps_the_first(spark, tmp_path, method):
+    path = str(tmp_path / "land")
+    for city in ("a", "b"):
+        batch = bucketed(spark, (city, 1, 0, 1)).withColumn("method", F.lit(method).cast("string"))
+        tables.land_raw(batch, path, ts="ts")
+    assert rows(spark.read.parquet(path).select("city")) == [("a",), ("b",)]
+    schema = spark.read.parquet(path).drop(*HOUR_BUCKET).schema
+    found = landing.read_hour_bucket(spark, path, bucketed_schema(schema), method, datetime(2024, 1, 1, 1))
+    assert rows(found.select("city")) == [("a",), ("b",)]
+
+
+def test_merge_with_and_without_times(spark, tmp_path):
     path = str(tmp_path / "land")
     no_time = bucketed(spark, ("a", 1, 0, 1), ("x", 1, 0, 9)).withColumn(
         "ts", F.when(F.col("city") == "a", F.col("ts"))
@@ -105,8 +117,7 @@ def test_merge_by_folder_and_by_match_agree(spark, tmp_path, monkeypatch, folder
     )
 
 
-def test_merge_of_many_partitions_prunes_by_time(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_FOLDERS", 0)
+def test_merge_of_many_partitions_prunes_by_time(spark, tmp_path):
     path = str(tmp_path / "land")
     tables.land_raw(bucketed(spark, *[("a", h, 0, h) for h in range(6)]), path, ts="ts")
     batch = with_hour_bucket(bucketed(spark, ("a", 3, 0, 1), ("a", 4, 0, 1)), "current", F.col("ts"))
@@ -207,25 +218,40 @@ def test_scratch_follows_the_session(spark, tmp_path):
 def test_incremental_load_takes_each_file_once(spark, tmp_path):
     folder = tmp_path / "drops"
     target, marks = str(tmp_path / "out"), str(tmp_path / "marks")
-    run = lambda: incremental_load(spark, str(folder), RAW_CURRENT, target, marks)
+    plan_ = lambda raw: with_hour_bucket(current_feed(raw), "current", F.col("localtime"))
+    run = lambda: incremental_load(
+        spark, str(folder), RAW_CURRENT, target, marks, plan=plan_, keys=["city"], order=[F.desc("temp_c")]
+    )
     read = lambda: rows(spark.read.parquet(target).select("city", "temp_c"))
     write_documents(folder, a=current("a"), nowhere=current(None, lat=None))
     run()
     assert read() == [("a", 20.5)]
     run()
     assert read() == [("a", 20.5)]
-    write_documents(folder, b=current("b", temp=1.0))
-    run()
-    assert read() == [("a", 20.5), ("b", 1.0)]
+    write_documents(folder, b=current("b", temp=1.0), c=current("c"), torn="{oops")
+    long_ago = datetime(2001, 1, 1).timestamp()
+    os.utime(folder / "c.json", (long_ago, long_ago))
+    for _ in range(2):
+        run()
+        assert read() == [("a", 20.5), ("b", 1.0), ("c", 20.5)]
+    aside = spark.read.parquet(f"{target}-corrupt")
+    assert [r.file.endswith("torn.json") for r in aside.collect()] == [True]
+    assert (tmp_path / "out/method=current/year=2024/month=1/day=1/hour=9").is_dir()
 
 
-def test_incremental_load_into_partitions(spark, tmp_path):
-    folder = tmp_path / "drops"
-    write_documents(folder, a=current("a"), b=current("b"))
-    incremental_load(
-        spark, str(folder), RAW_CURRENT, str(tmp_path / "out"), str(tmp_path / "marks"),
-        plan=lambda raw: with_hour_bucket(current_feed(raw), "current", F.col("localtime")),
-        partition_by=HOUR_BUCKET,
+def test_incremental_load_of_a_landing_that_rewrites_its_hours(spark, tmp_path):
+    land, target, marks = (str(tmp_path / n) for n in ("land", "out", "marks"))
+    schema = bucketed_schema(bucketed(spark, ("a", 1, 0, 1)).drop("method").schema)
+    load = lambda: incremental_load(
+        spark, land, schema, target, marks, plan=lambda r: r, keys=["city"], order=[F.desc("v")], multi_line=False
     )
-    assert (tmp_path / "out/method=current/year=2024/month=1/day=1/hour=9").is_dir()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    for data in ([("a", 1, 0, 1)], [("b", 1, 0, 2)], [("a", 1, 1, 3)]):
+        tables.land_raw(bucketed(spark, *data), land, ts="ts", fmt="json")
+        load()
+    assert rows(spark.read.parquet(target).select("city", "v")) == [("a", 3), ("b", 2)]
+
+
+def test_missing_in_one_hour(spark):
+    grid = requests.request_grid(spark.createDataFrame([("a",), ("b",)], "city string"), ["current"])
+    landed = with_hour_bucket(bucketed(spark, ("a", 1, 0, 1), ("b", 2, 0, 1)), "current", F.col("ts"))
+    assert rows(requests.missing_in_hour(grid, landed, datetime(2024, 1, 1, 2))) == [("current", "a")]

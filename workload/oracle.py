@@ -7,12 +7,20 @@ Spark side.
 
 from __future__ import annotations
 
-from workload.views import COUNTRIES_SQL, LOCATIONS_SQL, OBS_SQL, ORDER_PLACE_SQL, PROPS_SQL
+from workload.views import (
+    COUNTRIES_SQL,
+    LOCATIONS_SQL,
+    NATIONS_SQL,
+    OBS_SQL,
+    ORDER_PLACE_SQL,
+    PROPS_SQL,
+)
 
 VIEWS = {
     "obs": OBS_SQL.format(events="events"),
     "loc": LOCATIONS_SQL.format(customer="customer"),
-    "ctry": COUNTRIES_SQL.format(nation="nation"),
+    "few": COUNTRIES_SQL.format(nation="nation"),
+    "ctry": NATIONS_SQL.format(nation="nation"),
     "ord": ORDER_PLACE_SQL.format(orders="orders"),
     "props_text": PROPS_SQL.format(events="events"),
 }
@@ -75,7 +83,13 @@ ONCE = """
 SELECT * FROM (SELECT *, row_number() OVER (
     PARTITION BY city, CASE WHEN city IS NULL THEN lat END, CASE WHEN city IS NULL THEN long END
     ORDER BY lat NULLS LAST, long NULLS LAST, country NULLS LAST, region NULLS LAST, tz_id NULLS LAST
-  ) AS rn FROM unresolved) WHERE rn = 1"""
+  ) AS rn FROM unresolved) p WHERE rn = 1 AND (city IS NOT NULL OR NOT EXISTS (
+    SELECT 1 FROM named n WHERE n.lat = p.lat AND n.long = p.long))"""
+# Coordinates of the rows that stand for a named place.
+NAMED = """
+SELECT lat, long FROM (SELECT lat, long, row_number() OVER (PARTITION BY city
+    ORDER BY lat NULLS LAST, long NULLS LAST, country NULLS LAST, region NULLS LAST, tz_id NULLS LAST
+  ) AS rn FROM unresolved WHERE city IS NOT NULL) WHERE rn = 1"""
 NEW_LOCATIONS = f"""
 SELECT n.city, n.region, n.lat, n.long, n.tz_id, c.id AS country_id, {RUN_TS} AS created_at
 FROM @rows n LEFT JOIN ctry c ON c.name = n.country"""
@@ -85,7 +99,7 @@ SELECT city, lat, long, (SELECT max(id) FROM loc) + row_number() OVER (
 
 
 def _places(sql: str, **more: str) -> str:
-    steps = {"places": CLEANED, "resolved": RESOLVED, "unresolved": UNRESOLVED, "once": ONCE}
+    steps = {"places": CLEANED, "resolved": RESOLVED, "unresolved": UNRESOLVED, "named": NAMED, "once": ONCE}
     return _with(sql, "obs", "loc", "ctry", **steps, **more)
 
 
@@ -178,7 +192,8 @@ CROSS JOIN (VALUES ('current'), ('sports'), ('astronomy'), ('marine')) m(method)
 WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.method = m.method AND l.city = c.c_name)""",
         "obs",
         landed="""SELECT CASE condition_txt WHEN 'click' THEN 'current' WHEN 'view' THEN 'sports'
-  WHEN 'purchase' THEN 'astronomy' ELSE 'marine' END AS method, requested_city AS city FROM obs""",
+  WHEN 'purchase' THEN 'astronomy' ELSE 'marine' END AS method, requested_city AS city FROM obs
+WHERE ingest_ts >= TIMESTAMP '2024-01-15 10:00:00' AND ingest_ts < TIMESTAMP '2024-01-15 11:00:00'""",
     ),
     "explode_results": _with(
         """SELECT CASE i WHEN 1 THEN 'current' ELSE 'marine' END AS results_method, city AS results_city,
@@ -196,7 +211,7 @@ FROM (SELECT *, unnest(range(1, 1 + o_orderkey % 3)) AS i FROM ord)""",
     ),
     "land_raw": _with(
         f"SELECT obs_id, requested_city AS city, method, {BUCKET}, temp_c FROM landed",
-        "obs", landed=LANDED.replace("@unit", "hour"),
+        "obs", landed=LANDED.replace("@unit", "hour").replace("ORDER BY ", "ORDER BY (obs_id % 3 <> 1) DESC, "),
     ),
     "land_raw_minute": _with(
         """SELECT obs_id, method, strftime(ingest_ts, '%Y%m%d%H%M') AS minute_bucket,
@@ -210,8 +225,8 @@ FROM (SELECT *, unnest(range(1, 1 + o_orderkey % 3)) AS i FROM ord)""",
   '+0' || n_regionkey || ':00' AS tz_utc, r_name AS region, r_name AS continent,
   n_name AS requested_as, {RUN_TS} AS created_at
 FROM nation JOIN region ON n_regionkey = r_regionkey
-WHERE n_name IN (SELECT country FROM places) AND n_name NOT IN (SELECT name FROM ctry)""",
-        "obs", "ctry", places=CLEANED,
+WHERE n_name IN (SELECT country FROM places) AND n_name NOT IN (SELECT name FROM few)""",
+        "obs", "few", places=CLEANED,
     ),
     # projections, filters
     "flatten_mapped": _with(
@@ -246,11 +261,12 @@ WHERE city IS NOT NULL AND lat IS NOT NULL AND long IS NOT NULL""",
     "trim_current": _with(PROCESSED, "obs"),
     "current_feed": _with(f"{PROCESSED} WHERE {IDENTIFIABLE}", "obs"),
     "feed_outcomes": _with(
-        f"""SELECT 'current' AS method, 'done' AS status, count(*) AS rows FROM obs WHERE {IDENTIFIABLE}
-UNION ALL SELECT 'astronomy', 'done', count(*) FROM ord WHERE {IDENTIFIABLE}
-UNION ALL SELECT 'marine', 'done', coalesce(sum(1 + o_orderkey % 3), 0)::BIGINT FROM ord WHERE {IDENTIFIABLE}
-UNION ALL SELECT 'sports', 'done', count(*) FROM fixtures
-UNION ALL SELECT 'lightning', 'failed', 0""",
+        f"""SELECT 'current' AS method, 'failed' AS status, 0::BIGINT AS rows, count(*) AS stored FROM obs WHERE {IDENTIFIABLE}
+UNION ALL SELECT 'astronomy', 'done', count(*), 2 * count(*) FROM ord WHERE {IDENTIFIABLE}
+UNION ALL SELECT 'marine', 'done', n, 2 * n
+  FROM (SELECT coalesce(sum(1 + o_orderkey % 3), 0)::BIGINT AS n FROM ord WHERE {IDENTIFIABLE})
+UNION ALL SELECT 'sports', 'done', count(*), 2 * count(*) FROM fixtures
+UNION ALL SELECT 'lightning', 'failed', 0, 0""",
         "obs", "ord", fixtures=SPORTS_ROWS,
     ),
     "project_location": _with(
@@ -415,7 +431,16 @@ UNION ALL SELECT event_id, key, 'unknown_key' FROM
         valid="SELECT * FROM props_text WHERE json_valid(payload)",
     ),
     "contract_conforming": _with(
-        """SELECT obs_id FROM obs WHERE NOT (obs_id % 31 = 0 OR obs_id % 29 = 0 OR obs_id % 23 = 0)""",
+        """SELECT obs_id FROM obs WHERE NOT (obs_id % 31 = 0 OR obs_id % 29 <> 0 AND (obs_id % 23 = 0 OR obs_id % 19 = 0))""",
+        "obs",
+    ),
+    "contract_nested": _with(
+        """SELECT obs_id, '' AS path, 'corrupt' AS kind FROM obs WHERE obs_id % 31 = 0
+UNION ALL SELECT obs_id, 'current.clouds', 'unknown_key' FROM obs WHERE obs_id % 31 <> 0 AND obs_id % 29 = 0
+UNION ALL SELECT obs_id, 'now', 'unknown_key' FROM obs WHERE obs_id % 31 <> 0 AND obs_id % 29 <> 0 AND obs_id % 23 = 0
+UNION ALL SELECT obs_id, 'current', 'missing' FROM obs WHERE obs_id % 31 <> 0 AND obs_id % 29 <> 0 AND obs_id % 23 = 0
+UNION ALL SELECT obs_id, 'current.cloud', 'wrong_type' FROM obs
+  WHERE obs_id % 31 <> 0 AND obs_id % 29 <> 0 AND obs_id % 23 <> 0 AND obs_id % 19 = 0""",
         "obs",
     ),
     # feeds
@@ -459,10 +484,19 @@ FROM (SELECT *, unnest(range(1, 1 + greatest(o_orderkey % 3, 1))) AS t FROM days
     ),
     "sports_union": _with(SPORTS_ROWS, "ord"),
     # streaming, whole run
-    "incremental_load": _with(f"{PROCESSED} WHERE {IDENTIFIABLE}", "obs"),
-    "hourly_run": _places(
-        FACTS.replace("@key", CITY_KEY.replace("@dim", "known")),
-        fresh=NEW_IDS,
+    "incremental_load": _with(
+        f"{PROCESSED.replace('FROM obs', 'FROM loaded')}", every=VIEWS["obs"],
+        one=LANDED.replace("@unit", "hour").replace("FROM obs", "FROM every WHERE obs_id % 2 = 0"),
+        two=LANDED.replace("@unit", "hour").replace("FROM obs", "FROM every"),
+        loaded=f"""SELECT * FROM two WHERE {IDENTIFIABLE}
+UNION ALL SELECT * FROM one a WHERE {IDENTIFIABLE} AND NOT EXISTS (
+  SELECT 1 FROM two b WHERE b.method = a.method AND b.requested_city = a.requested_city
+    AND date_trunc('hour', b.ingest_ts) = date_trunc('hour', a.ingest_ts) AND {IDENTIFIABLE.replace('city', 'b.city').replace('lat', 'b.lat').replace('long', 'b.long')})""",
+    ),
+    "hourly_run": _with(
+        FACTS.replace("@key", CITY_KEY.replace("@dim", "known")), every=VIEWS["obs"],
+        obs=LATEST.replace("FROM obs", "FROM every"), loc=VIEWS["loc"], places=CLEANED, resolved=RESOLVED,
+        unresolved=UNRESOLVED, named=NAMED, once=ONCE, fresh=NEW_IDS,
         known="SELECT id, city FROM loc UNION ALL SELECT id, city FROM fresh",
     ),
 }

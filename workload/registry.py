@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +20,11 @@ from obsflow.schemas import (
     HOUR_BUCKET,
     IDENTITY_FIELDS,
     LONG,
+    PROCESSED,
     RAW_CURRENT,
     SPORTS,
     STRING,
+    bucketed,
     struct,
 )
 from obsflow.scratch import scratch_path
@@ -92,17 +94,11 @@ def scan_nested_json(spark, d):
     )
 
 
-LANDED: dict[tuple[str, str], str] = {}
-
-
 def landed_payloads(spark, d):
-    """The payload table in hour buckets, landed once per session and kept."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in LANDED:
-        path = scratch_path(spark, "landing")
-        tables.land_raw(raw_texts(spark, d), path, tie=["obs_id"])
-        LANDED[key] = path
-    return spark.read.parquet(LANDED[key])
+    """The payload table in hour buckets."""
+    path = scratch_path(spark, "landing")
+    tables.land_raw(raw_texts(spark, d), path, tie=["obs_id"])
+    return spark.read.parquet(path)
 
 
 @query
@@ -128,15 +124,15 @@ def request_grid(spark, d):
 
 @query
 def missing_payloads(spark, d):
+    """What has not landed in one hour, of all requests."""
     kind = F.col("condition_txt")
     method = (
         F.when(kind == "click", "current").when(kind == "view", "sports")
         .when(kind == "purchase", "astronomy").otherwise("marine")
     )
-    landed = views.observations(spark, d).select(
-        method.alias("method"), F.col("requested_city").alias("city")
-    )
-    return requests.missing_payloads(request_grid(spark, d), landed)
+    landed = views.observations(spark, d).select("ingest_ts", F.col("requested_city").alias("city"), method.alias("m"))
+    landed = times.with_hour_bucket(landed, F.col("m"), F.col("ingest_ts"))
+    return requests.missing_in_hour(request_grid(spark, d), landed, SCAN_HOUR)
 
 
 @query
@@ -169,9 +165,12 @@ def save_processed(spark, d):
 
 @query
 def land_raw(spark, d):
-    landed = landed_payloads(spark, d)
+    """Two overlapping batches: the second replaces what it brings again, the rest stays."""
+    path, texts = scratch_path(spark, "landing"), raw_texts(spark, d)
+    for batch in ("obs_id % 3 <> 0", "obs_id % 3 <> 1"):
+        tables.land_raw(texts.where(batch), path, tie=["obs_id"])
     temp = F.get_json_object("payload", "$.current.temp_c").cast("double")
-    return landed.select("obs_id", "city", *HOUR_BUCKET, temp.alias("temp_c"))
+    return spark.read.parquet(path).select("obs_id", "city", *HOUR_BUCKET, temp.alias("temp_c"))
 
 
 @query
@@ -246,6 +245,7 @@ def current_feed(spark, d):
 
 @query
 def feed_outcomes(spark, d):
+    """Two hours; in the second one feed fails, and its first hour stays."""
     frames = {
         "current": views.raw_current(spark, d),
         "astronomy": views.raw_astronomy(spark, d),
@@ -253,8 +253,20 @@ def feed_outcomes(spark, d):
         "sports": views.raw_sports(spark, d),
         "lightning": views.raw_current(spark, d),
     }
-    report = feeds.transform_feeds(spark, frames, scratch_path(spark, "feeds"))
-    return report.select("method", "status", "rows")
+    root = scratch_path(spark, "feeds")
+    feeds.transform_feeds(spark, frames, root, RUN_TS)
+    unreadable = frames["current"].withColumn(
+        "location", F.raise_error(F.lit("unreadable")).cast(RAW_CURRENT["location"].dataType)
+    )
+    report = feeds.transform_feeds(spark, frames | {"current": unreadable}, root, RUN_TS + timedelta(hours=1))
+    stored = None
+    for method in feeds.FEED_PLANS:
+        counted = spark.read.parquet(f"{root}/{method}").agg(F.count(F.lit(1)).alias("stored"))
+        counted = counted.select(F.lit(method).alias("method"), "stored")
+        stored = counted if stored is None else stored.unionByName(counted)
+    return report.join(stored, "method", "left").select(
+        "method", "status", "rows", F.coalesce("stored", F.lit(0)).alias("stored")
+    )
 
 
 @query
@@ -324,13 +336,13 @@ def lookup_location_or_shuffled(spark, d):
 @query
 def lookup_country(spark, d):
     rows = cleaned_places(spark, d).select("obs_id", "country")
-    return keys.lookup_country(rows, views.countries(spark, d))
+    return keys.lookup_country(rows, views.nations(spark, d))
 
 
 @query
 def new_locations(spark, d):
     return dimensions.new_locations(
-        current_feed(spark, d), views.locations(spark, d), views.countries(spark, d), RUN_TS
+        current_feed(spark, d), views.locations(spark, d), views.nations(spark, d), RUN_TS
     )
 
 
@@ -338,7 +350,7 @@ def new_locations(spark, d):
 def new_locations_all(spark, d):
     """Every unresolved row, repeated places included."""
     return dimensions.new_locations(
-        current_feed(spark, d), views.locations(spark, d), views.countries(spark, d), RUN_TS,
+        current_feed(spark, d), views.locations(spark, d), views.nations(spark, d), RUN_TS,
         dedup=False,
     )
 
@@ -553,16 +565,29 @@ def contract_violations(spark, d):
 
 @query
 def contract_conforming(spark, d):
-    """Strict mode over nested payloads: those with any violation are set aside."""
+    """Strict mode over nested payloads: further keys pass, anything else is set aside."""
+    lines = nested_texts(spark, d)
+    return contract.conforming(lines, "payload", RAW_CURRENT).select("obs_id")
+
+
+@query
+def contract_nested(spark, d):
+    """Every violation in nested payloads."""
+    return contract.contract_violations(nested_texts(spark, d), "payload", RAW_CURRENT, keep=("obs_id",))
+
+
+def nested_texts(spark, d):
+    """Nested payloads, some broken, with other keys, or with a whole number written as 5.0."""
     raw = views.raw_current(spark, d)
     body = views.payload_text(raw)
     line = (
         F.when(F.col("obs_id") % 31 == 0, "not a document")
         .when(F.col("obs_id") % 29 == 0, F.replace(body, F.lit('"cloud":'), F.lit('"clouds":')))
         .when(F.col("obs_id") % 23 == 0, F.replace(body, F.lit('"current":'), F.lit('"now":')))
+        .when(F.col("obs_id") % 19 == 0, F.regexp_replace(body, '"cloud":([0-9]+)', '"cloud":$1.0'))
         .otherwise(body)
     )
-    return contract.conforming(raw.select("obs_id", line.alias("payload")), "payload", RAW_CURRENT).select("obs_id")
+    return raw.select("obs_id", line.alias("payload"))
 
 
 # ----------------------------------------------------------------- feeds ----
@@ -599,16 +624,34 @@ def sports_union(spark, d):
 
 @query
 def incremental_load_rows(spark, d):
-    """Two drops of payloads and three runs: each payload is loaded once."""
+    """A landing that rewrites its hours, a corrupt document and repeated runs: each payload once."""
     landed, target, marks = (scratch_path(spark, n) for n in ("drops", "loaded", "marks"))
-    raw = views.raw_current(spark, d)
-    lines = raw.select("ingest_ts", views.payload_text(raw).alias("value"))
-    second_half = F.col("ingest_ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
-    for drop in (~second_half, second_half):
-        lines.where(drop).select("value").write.mode("append").text(landed)
-        incremental_load(spark, landed, RAW_CURRENT, target, marks, multi_line=False)
-    incremental_load(spark, landed, RAW_CURRENT, target, marks, multi_line=False)
-    return spark.read.parquet(target)
+    texts = raw_texts(spark, d)
+    stored = bucketed(texts.drop("method").schema)
+
+    def plan(rows):
+        parsed = rows.select(
+            "obs_id", "ingest_ts", *HOUR_BUCKET, F.col("city").alias("request"),
+            F.from_json("payload", RAW_CURRENT).alias("p"),
+        )
+        return feeds.current_feed(
+            parsed.select("*", "p.*"), ("obs_id", "ingest_ts", "request", *HOUR_BUCKET)
+        )
+
+    def load():
+        incremental_load(
+            spark, landed, stored, target, marks, plan=plan, keys=["request"],
+            order=[F.desc("ingest_ts"), F.desc("obs_id")], multi_line=False,
+        )
+
+    for batch in ("obs_id % 2 = 0", "true"):
+        tables.land_raw(texts.where(batch), landed, tie=["obs_id"], fmt="json")
+        load()
+    torn = spark.createDataFrame([("{torn", "current", 2024, 1, 15, 10)], "value string, method string, year int, month int, day int, hour int")
+    torn.write.mode("append").partitionBy(*HOUR_BUCKET).text(landed)
+    load()
+    load()
+    return spark.read.parquet(target).select(*PROCESSED.names)
 
 
 QUERIES["incremental_load"] = QUERIES.pop("incremental_load_rows")

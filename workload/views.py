@@ -70,6 +70,9 @@ COUNTRIES_SQL = """
 SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM {nation} WHERE n_regionkey < 3
 """
 
+# All of them, for lookups.
+NATIONS_SQL = "SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM {nation}"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -91,6 +94,10 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, COUNTRIES_SQL, "nation")
 
 
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, NATIONS_SQL, "nation")
+
+
 def _document(schema: T.StructType | None = None, **fields: Column | str) -> Column:
     """A struct of the given fields, each cast to its type in ``schema``.
 
