@@ -105,13 +105,6 @@ def slices(values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
             yield at, order, np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
 
 
-def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order that sorts the values, and the start of each group of equals in it."""
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    return order, np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-
-
 def pieces(frames):
     """Pandas frames of about PIECE characters of text each, small ones put together."""
     held, size = [], 0

@@ -6,10 +6,11 @@
 2. The sets of the others are ordered by document frequency and hash, one order for
    all. Equal sets are joined at once and one of each goes on.
 3. Sets that link share one of their first ``n - ceil(0.75 n) + 1`` shingles (their
-   prefix). Each is tried first against its neighbours in the postings of its prefix:
-   that joins large groups of near copies with as many trials as there are copies.
+   prefix). Each is tried first against three of those found with it in the postings of
+   its prefix, where documents with few shingles of their own come first: that joins
+   large groups of near copies with a few trials per copy.
 4. What is not yet joined is tried in full: all pairs of different components that
-   share prefix shingles, as often as the length bound asks.
+   share a shingle early enough in both for the overlap that their sizes ask for.
 5. Trials run on prefix trees: the partners of a document are stored in a trie in the
    global order, and one traversal counts the overlap with all of them, shared along
    common beginnings; a subtree is left as soon as its remaining length cannot reach
@@ -28,11 +29,12 @@ from pyspark.sql import functions as F
 
 from obsflow.llm.common import partitions
 from obsflow.llm.components import components
-from obsflow.llm.exchange import grouped, pieces, rows_by_bucket, unpacked, window_values, windows_within, word_values
+from obsflow.llm.exchange import (
+    flat, pieces, rows_by_bucket, slices, window_values, windows_within, word_values,
+)
 from obsflow.scratch import materialise
 
 SHINGLE = 5
-SALTS = 16
 
 
 def shingle_sets(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -144,24 +146,23 @@ def shared_sets(docs: DataFrame) -> DataFrame:
         rows = rows[rows["low"].notna()]
         if len(rows) == 0:
             return
-        parts = [unpacked(b, p, v) for b, p, v in zip(rows["bucket"], rows["places"], rows["low"], strict=True)]
-        values = np.concatenate([v for v, _ in parts])
-        order, starts = grouped(values)
-        counts = np.diff(np.append(starts, len(values)))
-        frequency = np.empty(len(values), np.int64)
-        frequency[order] = np.repeat(counts, counts)
-        rank = np.minimum(np.log2(frequency) * 4, 127).astype(np.int64)
-        at = 0
-        for piece, (v, place) in zip(rows["piece"], parts, strict=True):
-            end = at + len(v)
-            shared = frequency[at:end] > 1
-            if shared.any():
-                tokens = rank[at:end][shared] << 56 | v[shared].astype(np.int64)
-                yield pd.DataFrame({
-                    "piece": [piece], "ids": [None], "marks": [None], "sizes": [None],
-                    "places": [place[shared].astype("<u2").tobytes()], "tokens": [tokens.astype("<i8").tobytes()],
-                })
-            at = end
+        pieces_, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows)
+        del rows, held
+        for at, order, starts in slices(values):
+            counts = np.diff(np.append(starts, len(order)))
+            frequency = np.empty(len(order), np.int64)
+            frequency[order] = np.repeat(counts, counts)
+            chosen = np.flatnonzero(frequency > 1)
+            rank = np.minimum(np.log2(frequency[chosen]) * 4, 127).astype(np.int64)
+            at = at[chosen]
+            tokens, place = rank << 56 | values[at].astype(np.int64), places[at].astype("<u2")
+            cuts = np.searchsorted(at, bounds)
+            some = np.flatnonzero(np.diff(cuts))
+            yield pd.DataFrame({
+                "piece": pieces_[some], "ids": None, "marks": None, "sizes": None,
+                "places": pd.Series([place[cuts[k] : cuts[k + 1]].tobytes() for k in some], dtype=object),
+                "tokens": pd.Series([tokens[cuts[k] : cuts[k + 1]].astype("<i8").tobytes() for k in some], dtype=object),
+            })
 
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         book = frame[frame["tokens"].isna()].iloc[0]
@@ -192,7 +193,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
 def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of nodes that link."""
     shards = 4 * partitions(pairs.sparkSession)
-    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))
+    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(shards)).alias("salt"))
     shard = F.pmod(F.xxhash64("a", "salt"), F.lit(shards)).alias("shard")
     probes = pairs.select("a", "salt").distinct().join(sets.select(F.col("node").alias("a"), "n", "tokens"), "a").select("a", F.lit(None).cast("long").alias("b"), "n", "tokens", shard)
     stored = pairs.join(sets.select(F.col("node").alias("b"), "n", "tokens"), "b").select("a", "b", "n", "tokens", shard)
@@ -234,36 +235,38 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     sets = near.join(copies.select(F.col("a").alias("node")), "node", "left_anti").select("node", "n", "tokens")
     sets = materialise(sets, "distinct-sets")
 
-    # n - ceil(3 n / 4) + 1 shingles, of which n - size(tokens) are the document's own.
-    prefix = F.col("n") - F.ceil(3 * F.col("n") / 4) + 1 - (F.col("n") - F.size("tokens"))
-    postings = sets.select("node", "n", F.explode(F.slice("tokens", F.lit(1), prefix.cast("int"))).alias("token"))
+    # The first n - ceil(3 n / 4) + 1 shingles; the document's own ones are before all others.
+    own = F.col("n") - F.size("tokens")
+    prefix = F.col("n") - F.ceil(3 * F.col("n") / 4) + 1 - own
+    postings = sets.select("node", "n", own.alias("own"), F.posexplode(F.slice("tokens", F.lit(1), prefix.cast("int"))).alias("place", "token"))
+    postings = postings.withColumn("place", F.col("own") + F.col("place"))
 
-    by_size = Window.partitionBy("token").orderBy("n", "node")
-    neighbours = postings.select("node", F.array(F.lag("node", 1).over(by_size), F.lag("node", 2).over(by_size)).alias("earlier"))
-    pairs = neighbours.select("node", F.explode("earlier").alias("a")).where("a IS NOT NULL").groupBy("a", F.col("node").alias("b")).count()
+    by_nearness = Window.partitionBy("token").orderBy("own", "n", "node")
+    earlier = F.array(F.first("node").over(by_nearness), F.lag("node", 1).over(by_nearness), F.lag("node", 2).over(by_nearness))
+    neighbours = postings.select("node", earlier.alias("earlier")).select("node", F.explode(F.array_distinct("earlier")).alias("a"))
+    pairs = neighbours.where("a <> node").groupBy("a", F.col("node").alias("b")).count()
     likeliest = Window.partitionBy("b").orderBy(F.desc("count"), "a")
-    tried = pairs.withColumn("place", F.row_number().over(likeliest)).where("place <= 2").select("a", "b")
+    tried = pairs.withColumn("turn", F.row_number().over(likeliest)).where("turn <= 3").select("a", "b")
     links = materialise(_checked(tried, sets), "links-1")
     joined = materialise(components(links), "components-1")
 
     labelled = (
         postings.join(joined, "node", "left")
-        .select("token", "node", "n", F.coalesce("component", "node").alias("component"))
+        .select("token", "node", "n", "place", F.coalesce("component", "node").alias("component"))
     )
     mixed_tokens = labelled.groupBy("token").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     ).where("least < most").select("token")
     open_rows = materialise(labelled.join(mixed_tokens, "token"), "open-postings")
-    left = open_rows.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = open_rows.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = (F.col("ca") != F.col("cb")) & (4 * F.col("na") >= 3 * F.col("nb")) & (
+    left = open_rows.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
+    right = open_rows.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
+    # A pair needs an overlap of ceil(3 (na + nb) / 7), so it shares one of the first
+    # n - overlap + 1 shingles of both.
+    overlap = F.ceil(3 * (F.col("na") + F.col("nb")) / 7)
+    fits = (F.col("ca") != F.col("cb")) & (
         (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))
-    )
-    rest = F.greatest(F.ceil(3 * F.col("na") / 4), F.ceil(3 * F.col("nb") / 4)) - 1
-    open_pairs = (
-        left.join(right, "token").where(fits).groupBy("a", "b", "na", "nb").count()
-        .where(7 * (F.col("count") + rest) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
-    )
+    ) & (F.col("pa") <= F.col("na") - overlap) & (F.col("pb") <= F.col("nb") - overlap)
+    open_pairs = left.join(right, "token").where(fits).select("a", "b").distinct()
     more = _checked(open_pairs, sets)
     reached = components(links.union(more).union(copies))
     return every.join(reached, "node", "left").select(
