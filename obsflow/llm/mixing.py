@@ -86,6 +86,7 @@ def mix_sources(
     keyed = (
         docs.withColumn("mix_size", n_words(F.col("text")))
         .withColumn("mix_key", -F.log(uniform("doc_id").alias("u")) / quality_weight(F.col("text"), F.col("mix_size")))
+        .withColumn("mix_tie", F.xxhash64("text"))
         .withColumn("mix_slice", F.floor((1 - F.exp(-F.col("mix_key"))) * slices).cast("int"))
     )
     sums = keyed.groupBy("source", "mix_slice").agg(F.sum("mix_size").alias("slice_size"))
@@ -103,7 +104,7 @@ def mix_sources(
     )
     within = (
         Window.partitionBy(F.col("source"), "mix_slice")
-        .orderBy("mix_key", "doc_id", "mix_size", F.xxhash64("text"))
+        .orderBy("mix_key", "doc_id", "mix_size", "mix_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     upto = F.col("mix_before") + F.sum("mix_size").over(within)
@@ -115,7 +116,7 @@ def mix_sources(
         .withColumn("mix_upto", upto)
         .withColumn("mix_copies", F.when(F.col("mix_size") > 0, epochs + drawn).otherwise(0).cast("long"))
         .withColumn("mix_taken", F.col("mix_copies") * F.col("mix_size"))
-        .drop("mix_key", "mix_slice", "mix_before", "mix_upto", "plan_source", "plan_slice")
+        .drop("mix_key", "mix_tie", "mix_slice", "mix_before", "mix_upto", "plan_source", "plan_slice")
     )
 
 
