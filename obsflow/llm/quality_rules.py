@@ -135,6 +135,7 @@ def fit_cutoffs(
                 (F.crc32(F.col("doc_id").cast("string")) % 2 == 0).alias("proposes"))
         .groupBy("stratum", "b.rule", "b.bin", "good", "proposes").count()
     )
+    counts = materialise(counts, "quality-counts")  # the texts are read once for them
     strata = counts.select("stratum").distinct().count()
     level = (1 - confidence) / (max(strata, 1) * len(RULES))
     rate = risk / len(RULES)
