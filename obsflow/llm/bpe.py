@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from obsflow.llm.chunked import tokenizer
+from obsflow.llm.chunked import byte_symbols, tokenizer
 from obsflow.llm.common import Bounded, text_batches
 
 CACHED_WORDS = 400_000
@@ -43,13 +43,6 @@ WIDE_SPACE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u2
 AGREED = re.compile("[^\x00-\u024f]")
 
 
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte: printable Latin-1 as itself, the others from 256 on."""
-    printable = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(256, 512))
-    return [chr(b if b in printable else next(others)) for b in range(256)]
-
-
 class Bpe:
     """Encoder and decoder of one vocabulary file."""
 

@@ -1,19 +1,34 @@
 """Encoding by the tokenizers library with each distinct word encoded once per worker.
 
-Splitting at ASCII white space changes nothing for the two public BPE files: their
-pre-tokenizers never form a piece across it, NFC never composes across it, and the
-added tokens hold none.
+For the public word-level BPE file: lower case, white space dropped, pieces of letters,
+single digits or other characters. Splitting at ASCII white space changes nothing, since
+no piece crosses it, NFC never composes across it and the added tokens hold none.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import regex
 
-CACHED = 400_000
+from obsflow.llm.common import Bounded
+
+CACHED_WORDS, CACHED_PIECES = 400_000, 300_000
 LONGEST_CACHED = 80
+# The pattern that cuts normalised text into pieces. Fixed value: it must equal the tokenizer's.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# Words with other characters, or with what may be an added token, go to the library whole.
+UNUSUAL = regex.compile("[^\x21-ɏ]|<\\|")
+
+
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte: printable Latin-1 as itself, the others from 256 on."""
+    printable = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
 @lru_cache(maxsize=2)
@@ -32,41 +47,31 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.young, self.older = {}, {}
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.encode().split() for t in texts]
-        if len(self.young) >= CACHED:
-            self.older, self.young = self.young, {}
-        young, older = self.young, self.older
-        new, passing = [], {}
-        for word in set().union(*split) - young.keys():
-            if (known := older.get(word)) is not None:
-                young[word] = known
-            elif len(word) > LONGEST_CACHED:
-                passing[word] = self._encode([word.decode()])[0]
-            else:
-                new.append(word)
-        for at in range(0, len(new), 512):
-            block = new[at : at + 512]
-            young.update(zip(block, self._encode([w.decode() for w in block]), strict=True))
-        if passing:
-            return [b"".join([young[w] if len(w) <= LONGEST_CACHED else passing[w] for w in words]) for words in split]
-        return [b"".join(map(young.__getitem__, words)) for words in split]
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """Encode words joined by spaces and give each word the ids that start in it."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        cut = np.searchsorted(starts, ends).tolist()
-        raw, out, at = ids.tobytes(), [], 0
-        for end in cut:
-            out.append(raw[4 * at : 4 * end])
-            at = end
-        return out
+        self.model = self.tokenizer.model
+        self._symbols = str.maketrans(dict(enumerate(byte_symbols())))
+        self._words = Bounded(self._word, CACHED_WORDS)
+        self._pieces = Bounded(self._piece, CACHED_PIECES)
+
+    def text(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        words = text.encode().split()
+        if len(max(words, key=len, default=b"")) > LONGEST_CACHED:
+            known = self._words
+            return b"".join([known[w] if len(w) <= LONGEST_CACHED else self._word(w) for w in words])
+        return b"".join(map(self._words.__getitem__, words))
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if UNUSUAL.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(
+            self._pieces[p] if len(p) <= LONGEST_CACHED else self._piece(p)
+            for p in PIECES.findall(unicodedata.normalize("NFC", text).lower())
+        )
+
+    def _piece(self, piece: str) -> bytes:
+        symbols = piece.encode().decode("latin-1").translate(self._symbols)
+        return np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)

@@ -25,25 +25,34 @@ from obsflow.llm.chunked import tokenizer, word_ids
 from obsflow.llm.common import partitions, text_batches
 from obsflow.scratch import scratch_path
 
+PORTION = 400_000
 PACKED = "n long, control binary, data binary"
-_LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.int64)
+_LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.int64)  # by control byte
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit values."""
+def pack(values: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control and data bytes of each document; ``values`` holds ``counts`` unsigned 32-bit ones of each."""
     values = np.ascontiguousarray(values, "<u4")
     extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    four = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    four[: len(values)] = extra
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]].tobytes()
+    slots, owner_start = -(-counts // 4) * 4, np.cumsum(counts) - counts
+    four = np.zeros(slots.sum(), np.uint8)
+    four[np.arange(len(values)) + np.repeat(np.cumsum(slots) - slots - owner_start, counts)] = extra
     four = four.reshape(-1, 4)
-    return (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes(), data.tobytes()
-
-
-def unpack(n: int, control: bytes, data: bytes) -> np.ndarray:
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+    control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes()
+    sizes = np.concatenate(([0], np.cumsum(extra.astype(np.int64) + 1)))
+    ends = np.cumsum(counts)
+    return _cut(control, np.cumsum(slots) // 4), _cut(data, sizes[ends] if len(ends) else ends)
+
+
+def unpack(counts: np.ndarray, control: list[bytes], data: list[bytes]) -> np.ndarray:
+    """The values of all documents, one after the other."""
+    slots = -(-counts // 4) * 4
+    every = _LENGTHS[np.frombuffer(b"".join(control), np.uint8)].reshape(-1)
+    place = np.arange(slots.sum()) - np.repeat(np.cumsum(slots) - slots, slots)
+    lengths = every[place < np.repeat(counts, slots)]
     at = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
+    raw = np.frombuffer(b"".join(data) + b"\0\0\0", np.uint8)
     values = raw[at].astype(np.uint32)
     for k in (1, 2, 3):
         longer = np.flatnonzero(lengths > k)
@@ -51,16 +60,23 @@ def unpack(n: int, control: bytes, data: bytes) -> np.ndarray:
     return values
 
 
-def _packed(frame: pd.DataFrame, arrays) -> pd.DataFrame:
-    both = [pack(a) for a in arrays]
-    return frame.assign(
-        control=pd.Series([c for c, _ in both], index=frame.index, dtype=object),
-        data=pd.Series([d for _, d in both], index=frame.index, dtype=object),
-    )
+def _portions(frames, sizes):
+    """Cut pandas frames so that a portion holds about PORTION ids; ``sizes`` gives those of each row."""
+    for frame in frames:
+        part = np.cumsum(sizes(frame)) // PORTION
+        start = 0
+        for end in [*(np.flatnonzero(np.diff(part)) + 1), len(frame)]:
+            if end > start:
+                yield frame.iloc[start:end]
+            start = end
 
 
-def _arrays(frame: pd.DataFrame):
-    return (unpack(n, c, d) for n, c, d in zip(frame["n"], frame["control"], frame["data"], strict=True))
+def _cut(raw: bytes, ends: np.ndarray) -> list[bytes]:
+    out, start = [], 0
+    for end in ends.tolist():
+        out.append(raw[start:end])
+        start = end
+    return out
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1) -> None:
@@ -73,31 +89,29 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     shards = partitions(spark)
 
     def encode(frames):
-        words = word_ids(tokenizer_path)
+        words, end = word_ids(tokenizer_path), np.uint32(end_id).tobytes()
         for part in text_batches(frames):
-            end = np.uint32(end_id).tobytes()
-            ids = [np.frombuffer(i + end, "<u4") for i in words.texts([t if isinstance(t, str) else "" for t in part["text"]])]
-            out = part[["doc_id"]].assign(n=[len(i) for i in ids])
-            yield _packed(out, ids)
+            ids = [(words.text(t) if isinstance(t, str) else b"") + end for t in part["text"]]
+            yield part[["doc_id"]].assign(ids=pd.Series(ids, index=part.index, dtype=object))
 
     key = docs.schema["doc_id"].dataType.simpleString()
     once = f"{path}/unranked"
-    docs.select("doc_id", "text").mapInPandas(encode, f"doc_id {key}, {PACKED}").write.parquet(once)
+    encoded = docs.select("doc_id", "text").mapInPandas(encode, f"doc_id {key}, ids binary")
+    encoded.write.option("compression", "zstd").parquet(once)
     unranked = spark.read.parquet(once)
 
     size = max(tokenizer(tokenizer_path).get_vocab_size(), end_id + 1)
 
     def count(frames):
         total = np.zeros(size, np.int64)
-        for frame in frames:
-            for ids in _arrays(frame):
-                total += np.bincount(ids, minlength=size)
+        for frame in _portions(frames, lambda f: f["ids"].str.len().to_numpy(np.int64) // 4):
+            total += np.bincount(np.frombuffer(b"".join(frame["ids"]), "<u4"), minlength=size)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"id": seen, "seen": total[seen]})
 
     order = Window.orderBy(F.desc("seen"), "id")  # at most one row per id of the vocabulary
     (
-        unranked.select("n", "control", "data").mapInPandas(count, "id long, seen long")
+        unranked.select("ids").mapInPandas(count, "id long, seen long")
         .groupBy("id").agg(F.sum("seen").alias("seen"))
         .select((F.row_number().over(order) - 1).alias("rank"), "id")
         .write.parquet(f"{path}/vocabulary")
@@ -107,23 +121,22 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         rank_of[row.id] = row.rank
     ranks = spark.sparkContext.broadcast(rank_of)
 
-    def rank(frames):
-        for frame in frames:
-            yield _packed(frame, (ranks.value[ids] for ids in _arrays(frame)))
-
     def place(frames):
         shard, first = TaskContext.get().partitionId(), 0
-        for frame in frames:
-            before = first + np.cumsum(frame["n"].to_numpy()) - frame["n"].to_numpy()
-            first += int(frame["n"].sum())
-            yield frame.assign(shard=shard, first=before)
-
-    columns = f"doc_id {key}, {PACKED}"
+        for frame in _portions(frames, lambda f: f["ids"].str.len().to_numpy(np.int64) // 4):
+            n = frame["ids"].str.len().to_numpy(np.int64) // 4
+            control, data = pack(ranks.value[np.frombuffer(b"".join(frame["ids"]), "<u4")], n)
+            before = first + np.cumsum(n) - n
+            first += int(n.sum())
+            yield pd.DataFrame({
+                "doc_id": frame["doc_id"], "n": n, "control": control, "data": data, "shard": shard, "first": before,
+            })
+
+    # Placed before it is ranked: the sampling that finds the bounds then reads and does no more.
     (
-        unranked.mapInPandas(rank, columns)
-        .withColumn("tie", F.xxhash64("control", "data"))
+        unranked.withColumn("tie", F.xxhash64("ids"))
         .repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-        .mapInPandas(place, f"{columns}, shard int, first long")
+        .mapInPandas(place, f"doc_id {key}, {PACKED}, shard int, first long")
         .write.parquet(f"{path}/shards")
     )
 
@@ -138,9 +151,12 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     ids_by_rank = spark.sparkContext.broadcast(id_of)
 
     def decode(frames):
-        for frame in frames:
-            ids = [ids_by_rank.value[ranks].astype("<u4").tobytes() for ranks in _arrays(frame)]
-            yield frame[["doc_id", "shard", "first", "n"]].assign(ids=pd.Series(ids, index=frame.index, dtype=object))
+        for frame in _portions(frames, lambda f: f["n"].to_numpy(np.int64)):
+            n = frame["n"].to_numpy(np.int64)
+            ids = ids_by_rank.value[unpack(n, list(frame["control"]), list(frame["data"]))].astype("<u4").tobytes()
+            yield frame[["doc_id", "shard", "first", "n"]].assign(
+                ids=pd.Series(_cut(ids, 4 * np.cumsum(n)), index=frame.index, dtype=object)
+            )
 
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = (

@@ -16,7 +16,8 @@ ODD = [
     None, "", " ", "\n\n", "a", "  two  spaces ", "tab\tand\n\n\nlines \n", "don't we'll I'VE 123 4567", "x" * 3000,
     "café É À̀ İ ΣΣ ẞ", "nb  \n\nsp   　x", "<|endoftext|>",
     "a <|endoftext|>  b<|endoftext|>", " \x1c\x1d a\x1cb \x85 c", "​ zero ᠎", "emoji \U0001f600\U0001f468‍\U0001f469",
-    "กำ क्", "<|startoftext|>x", "á́ ́b", "!!!\n???", "a\u08971\u0897 \U000107bbx \u1c89 \ua7dd",
+    "กำ क्", "<|startoftext|>x", "á́ ́b", "!!!\n???", "".join(map(chr, range(0x21, 0x250))), "\u212b A\u030a \u0130x \u01c5 <|x|>y",
+    "a\u08971\u0897 \U000107bbx \u1c89 \ua7dd",
 ]
 
 
@@ -76,8 +77,13 @@ def test_query_token_files(spark, sf_dir):
 
 def test_packing_every_length():
     values = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 7], np.uint32)
-    assert token_files.unpack(len(values), *token_files.pack(values)).tolist() == values.tolist()
-    assert token_files.pack(values[:0]) == (b"", b"")
+    for counts in ([9], [0, 4, 0, 5], [1] * 9, [3, 3, 3, 0]):
+        n = np.array(counts)
+        control, data = token_files.pack(values, n)
+        assert [len(c) for c in control] == [-(-k // 4) for k in counts]
+        assert token_files.unpack(n, control, data).tolist() == values.tolist()
+    assert token_files.pack(values[:0], np.array([0])) == ([b""], [b""])
+    assert token_files.unpack(np.array([0]), [b""], [b""]).tolist() == []
 
 
 def brute_sections(text):
