@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from obsflow.llm.chunked import byte_symbols, tokenizer
 from obsflow.llm.common import Bounded, text_batches
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 LONGEST_CACHED = 64
 
 # The pattern by which the byte-level pre-tokenizer cuts text.
@@ -65,6 +65,11 @@ class Bpe:
         self._pieces = Bounded(self._piece, CACHED_WORDS)
         self._chunks = Bounded(self._chunk, CACHED_WORDS)
 
+    def forget(self) -> None:
+        """Empty the caches: workers live on after their task, and others need the memory."""
+        self._pieces.empty()
+        self._chunks.empty()
+
     def merged(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges, lowest rank first and leftmost among equals."""
         n, merge = len(symbols), self.merge.get
@@ -142,8 +147,15 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(frames):
         bpe = load(tokenizer_path)
-        for part in text_batches(frames):
-            ids = [bpe.encode(t) if isinstance(t, str) else b"" for t in part["text"]]
-            yield part.assign(bpe_ids=pd.Series(ids, index=part.index, dtype=object), bpe_decoded=pd.Series([bpe.decode(i) for i in ids], index=part.index, dtype=object))
+        try:
+            for part in text_batches(frames):
+                ids = [bpe.encode(t) if isinstance(t, str) else b"" for t in part["text"]]
+                decoded = [bpe.decode(i) for i in ids]
+                yield part.assign(
+                    bpe_ids=pd.Series(ids, index=part.index, dtype=object),
+                    bpe_decoded=pd.Series(decoded, index=part.index, dtype=object),
+                )
+        finally:
+            bpe.forget()
 
     return kept.mapInPandas(run, schema)

@@ -55,6 +55,10 @@ class Bounded(dict):
         super().__init__()
         self._compute, self._size, self._older = compute, size, {}
 
+    def empty(self) -> None:
+        self.clear()
+        self._older = {}
+
     def __missing__(self, key):
         value = self._older.get(key)
         if value is None:
