@@ -14,9 +14,6 @@ from obsflow.operators.lookup import BROADCAST_BYTES, measured_bytes
 from obsflow.schemas import HOUR_BUCKET
 from obsflow.sources.landing import read_table
 
-# A write of many small partitions is dealt to about this many tasks per core.
-WRITE_TASKS_PER_CORE = 2
-
 
 def write_hour_partitions(
     df: DataFrame,
