@@ -10,7 +10,8 @@ inner product in double precision.
 
 How many vectors that must be is measured: ``CALIBRATION`` queries are also answered
 by brute force, and ``target`` is the count at which ``recall`` of their true
-neighbours would have been seen.
+neighbours would have been seen. No walk ends with fewer than ``k`` candidates besides
+the query's own rows while there are cells left.
 
 Cells are dealt over shards of bounded size; a cell with very many vectors is first
 cut into blocks, so a vector repeated a million times is spread too. Each query goes
@@ -132,7 +133,8 @@ def nearest_vectors(
 
     Candidates are all rows but the query's own; the largest inner product is nearest,
     ties go to the smaller id. ``recall``: share of the true neighbours to be found,
-    as measured on the calibration queries. ``per_half``: centroids a half.
+    as measured on the calibration queries. ``per_half``: centroids a half. A query with
+    fewer than ``k`` candidates gets all of them.
 
     Vectors that are NULL, zero, or hold a NULL or non-finite component take no part,
     nor do rows without an id. All vectors are to have one length; a longer or shorter
@@ -172,7 +174,8 @@ def nearest_vectors(
     sizes = spark.sparkContext.broadcast(held)
 
     asked = materialise(
-        index.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")), "multi-index-queries"
+        index.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"), F.count("*").alias("own")),
+        "multi-index-queries",
     )
     n_queries = asked.count()
     if n_queries == 0:
@@ -192,8 +195,8 @@ def nearest_vectors(
             unit = _matrix(frame["v"])
             unit /= np.linalg.norm(unit, axis=1, keepdims=True)
             near_a, near_b = distances(unit[:, :half], book.value[0]), distances(unit[:, half:], book.value[1])
-            for query_id, v, x, y in zip(frame["vec_id"], frame["v"], near_a, near_b, strict=True):
-                cells = np.array(walk(x, y, sizes.value, target))
+            for query_id, v, own, x, y in zip(frame["vec_id"], frame["v"], frame["own"], near_a, near_b, strict=True):
+                cells = np.array(walk(x, y, sizes.value, max(target, k + own)))  # its own rows are no candidates
                 cut = np.repeat(cells, blocks[cells])
                 block = np.arange(len(cut)) - np.repeat(np.cumsum(blocks[cells]) - blocks[cells], blocks[cells])
                 shard = shard_of(cut, block)

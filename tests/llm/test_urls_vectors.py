@@ -75,6 +75,27 @@ def test_vectors(spark):
     assert nearest.nearest_vectors(frame.where("vec_id = 3")).count() == 0
 
 
+def test_every_query_gets_k_rows(spark):
+    both = lambda k: np.tile(np.eye(4)[k], 2)
+    rows = [(i, both(i % 2).tolist()) for i in range(1, 1500)]  # two groups of copies
+    rows += [(3000, (-0.01 * both(2)).tolist())]  # outliers, short so that they are no one's neighbours
+    rows += [(3020, (-0.01 * both(3)).tolist())] * 30  # more rows of its own than k
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    counts = {r.query_id: r["count"] for r in nearest.nearest_vectors(frame).groupBy("query_id").count().collect()}
+    assert counts == {i: 20 for i, _ in rows if i % 20 == 0}
+
+
+def test_few_candidates_are_all_found(spark):
+    rng = np.random.default_rng(5)
+    for n in (2, 9, 21):
+        rows = [(20 * i, rng.standard_normal(8).tolist()) for i in range(n)]
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+        found = {}
+        for r in nearest.nearest_vectors(frame).collect():
+            found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+        assert {q: [v for _, v in sorted(x)] for q, x in found.items()} == {q: [v for v, _ in x] for q, x in exact(rows, 20, 20).items()}
+
+
 def test_query_recall(spark, sf_dir):
     from obsflow.llm.queries import QUERIES
 
