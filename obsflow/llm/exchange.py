@@ -3,8 +3,9 @@
 Comparing every n-gram of a corpus with every other needs each of them at the task
 that owns its hash value. As rows that would be a shuffle of many times the input. Here
 a map task takes pieces of about ``PIECE`` characters of text and packs their values by
-bucket: one row per piece and bucket, with five bytes per value (the bucket fixes
-further bits) and the value's place in the piece as a difference to the one before.
+bucket: one row per piece and bucket, with ``width`` bytes per value (where that is five
+the bucket fixes further bits) and the value's place in the piece as a difference to the
+one before.
 """
 
 from __future__ import annotations
@@ -53,12 +54,12 @@ def windows_within(values: np.ndarray, counts: np.ndarray, size: int) -> tuple[n
     return window_values(values, size)[at] if len(at) else np.zeros(0, np.uint64), at
 
 
-def rows_by_bucket(values: np.ndarray, places: np.ndarray, buckets: int) -> list[tuple[int, bytes, bytes]]:
-    """(bucket, places, values) packed; ``places`` must not decrease."""
+def rows_by_bucket(values: np.ndarray, places: np.ndarray, buckets: int, width: int = 5) -> list[tuple[int, bytes, bytes]]:
+    """(bucket, places, values) packed, five or all eight bytes of a value; ``places`` must not decrease."""
     bucket = (values >> np.uint64(40)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    low = np.ascontiguousarray(values[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
+    low = np.ascontiguousarray(values[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
     places = places[order]
     out = []
     for b in range(buckets):
@@ -70,21 +71,23 @@ def rows_by_bucket(values: np.ndarray, places: np.ndarray, buckets: int) -> list
     return out
 
 
-def unpacked(bucket: int, places: bytes, low: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Values (40 bits and the bucket above them) and places of a row."""
-    n = len(low) // 5
+def unpacked(bucket: int, places: bytes, low: bytes, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Values (whole, or 40 bits and the bucket above them) and places of a row."""
+    n = len(low) // width
+    steps = np.cumsum(np.frombuffer(places, f"<u{len(places) // n}"), dtype=np.int64)
+    if width == 8:
+        return np.frombuffer(low, "<u8"), steps
     wide = np.zeros((n, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(low, np.uint8).reshape(-1, 5)
-    steps = np.frombuffer(places, f"<u{len(places) // n}")
-    return wide.view("<u8").reshape(-1) | np.uint64(bucket << 40), np.cumsum(steps, dtype=np.int64)
+    wide[:, :width] = np.frombuffer(low, np.uint8).reshape(-1, width)
+    return wide.view("<u8").reshape(-1) | np.uint64(bucket << 40), steps
 
 
-def flat(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def flat(rows: pd.DataFrame, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values and places of all rows (bucket, places, low) in a row, and where each row begins and the last ends."""
-    bounds = np.concatenate(([0], np.cumsum(rows["low"].str.len().to_numpy(np.int64) // 5)))
+    bounds = np.concatenate(([0], np.cumsum(rows["low"].str.len().to_numpy(np.int64) // width)))
     values, places = np.empty(bounds[-1], np.uint64), np.empty(bounds[-1], np.uint32)
     for k, (bucket, steps, low) in enumerate(zip(rows["bucket"], rows["places"], rows["low"], strict=True)):
-        values[bounds[k] : bounds[k + 1]], places[bounds[k] : bounds[k + 1]] = unpacked(bucket, steps, low)
+        values[bounds[k] : bounds[k + 1]], places[bounds[k] : bounds[k + 1]] = unpacked(bucket, steps, low, width)
     return values, places, bounds
 
 

@@ -11,7 +11,9 @@
    longest match ending at each word). Where a match has ``WINDOW`` words or more, the
    words it covers go: the union is the maximal repeated spans.
 
-The exchange compares hash values; what is removed is decided on the words.
+The exchange proposes passages by 64-bit hashes of their windows, the automata confirm
+them on the words. So nothing is removed that does not repeat; a repeated window whose
+hash is also that of another window in a smaller doc_id would stay.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from obsflow.llm.exchange import flat, pieces, rows_by_bucket, slices, windows_w
 from obsflow.scratch import materialise
 
 WINDOW = 50
+#: Bytes of a window's hash in the exchange: all of them, since a window is compared with one first document only.
+HASH = 8
 #: Suspected spans of one first document that meet in one group.
 SPANS = 512
 
@@ -126,12 +130,12 @@ def window_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             value, at = windows_within(values, counts, window)
             owner = np.repeat(np.arange(len(words)), np.maximum(counts - window + 1, 0))
             value, at, owner = (x[in_order[owner] > 0] for x in (value, at, owner))
-            rows = rows_by_bucket(value, at, buckets)
+            rows = rows_by_bucket(value, at, buckets, HASH)
             ids = piece["doc_id"].fillna(0).to_numpy(np.int64)
             starts = np.cumsum(counts) - counts
             owned = []
             for _, places, low in rows:
-                place = np.cumsum(np.frombuffer(places, f"<u{5 * len(places) // len(low)}"), dtype=np.int64)
+                place = np.cumsum(np.frombuffer(places, f"<u{HASH * len(places) // len(low)}"), dtype=np.int64)
                 who = np.searchsorted(starts + counts, place, side="right")
                 cut = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
                 owned.append((ids[who[cut]].astype("<i8").tobytes(), np.diff(np.append(cut, len(who))).astype("<u4").tobytes()))
@@ -154,7 +158,7 @@ def window_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         rows = rows[rows["low"].notna()]
         if len(rows) == 0:
             return
-        pieces_, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows)
+        pieces_, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows, HASH)
         owners = np.frombuffer(b"".join(rows["owners"]), "<i8")
         owner = np.repeat(np.arange(len(owners), dtype=np.uint32), np.frombuffer(b"".join(rows["owned"]), "<u4"))
         del rows, held

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from obsflow.llm import mixing, ngram_join, quality_rules, substring_dedup, toxicity
+from obsflow.llm import exchange, mixing, ngram_join, quality_rules, substring_dedup, toxicity
 from obsflow.llm.queries import QUERIES
 
 
@@ -82,6 +82,17 @@ def test_substring_dedup(copies):
     assert kept == sorted((d, tuple(w)) for d, _, _, w in brute.substring_dedup(rows) if d is not None)
 
 
+def test_substring_dedup_tells_windows_of_one_short_hash_apart(spark, settings):
+    settings(spark__sql__shuffle__partitions="1")  # one bucket: it tells nothing about a hash
+    passages = [[f"w{i}" for i in range(start, start + 50)] for start in (205, 4223998)]
+    values = [exchange.window_values(exchange.word_values([w.encode() for w in p]), 50)[0] for p in passages]
+    assert values[0] != values[1] and len({int(v) % (1 << 40) for v in values}) == 1
+    rows = [(1, " ".join(passages[0])), (2, " ".join(passages[1])), (3, " ".join(["a", *passages[1], "b"]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(tuple(r) for r in substring_dedup.dedup_report(frame).collect())
+    assert out == sorted((d, n, r, brute.digest(w)) for d, n, r, w in brute.substring_dedup(rows))
+
+
 def test_query_substring_dedup(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     out = sorted(tuple(r) for r in QUERIES["op8_substring_dedup"](spark, sf_dir).collect())
