@@ -84,14 +84,12 @@ def prefix_tree(sets: list[np.ndarray]) -> list:
 
 def tree_overlaps(root: list, probe: np.ndarray, needed: np.ndarray) -> dict[int, int]:
     """Overlap of ``probe`` with each set of the trie that reaches its ``needed``."""
-    least: dict[int, int] = {}
-
-    def lowest(node) -> int:
-        known = least.get(id(node))
-        if known is None:
-            below = [lowest(c) for c in node[1].values()]
-            known = least[id(node)] = min([*below, *(int(needed[k]) for k in node[2])])
-        return known
+    least: dict[int, int] = {}  # of all sets at or below a node
+    nodes = [root]
+    for node in nodes:  # grows as it goes, parents first; tries can be deeper than Python's stack
+        nodes += node[1].values()
+    for node in reversed(nodes):
+        least[id(node)] = min([*(least[id(c)] for c in node[1].values()), *(int(needed[k]) for k in node[2])])
 
     found, stack = {}, [(root, 0, 0)]
     while stack:
@@ -101,7 +99,7 @@ def tree_overlaps(root: list, probe: np.ndarray, needed: np.ndarray) -> dict[int
             place = np.searchsorted(probe[at:], edge) + at
             have += int((probe[np.minimum(place, len(probe) - 1)] == edge)[place < len(probe)].sum())
             at = int(place[-1])
-        if have + len(probe) - at < lowest(node):
+        if have + len(probe) - at < least[id(node)]:
             continue  # what is left of the probe cannot reach it
         for k in node[2]:
             if have >= needed[k]:

@@ -69,6 +69,13 @@ def test_prefix_tree_counts_every_overlap():
             assert found == {k: n for k, n in true.items() if n >= least}
 
 
+def test_prefix_tree_of_thousands_of_levels():
+    n = 5000
+    sets = [np.arange(k) for k in range(n, 0, -1)]  # each leaves the others one level higher
+    found = ngram_join.tree_overlaps(ngram_join.prefix_tree(sets), np.arange(n), np.full(n, 100))
+    assert found == {k: n - k for k in range(n) if n - k >= 100}
+
+
 def test_substring_dedup(copies):
     rows, frame = copies
     expected = sorted((d, n, r, brute.digest(w)) for d, n, r, w in brute.substring_dedup(rows) if d is not None)
