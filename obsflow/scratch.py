@@ -36,6 +36,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table that this library has written to scratch and that nothing reads any more."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what this library writes to scratch inside the block.
@@ -50,8 +56,7 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     finally:
         _open_blocks.remove(made)
         for path in made:
-            there = spark._jvm.org.apache.hadoop.fs.Path(path)
-            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+            remove(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
