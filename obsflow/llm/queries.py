@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from obsflow.llm import (
-    bpe, mixing, nearest, ngram_join, quality_rules, substring_dedup, token_counts, token_files, toxicity, url_filter,
+    bpe, centroid_clusters, mixing, nearest, ngram_join, quality_rules, spelling, substring_dedup, token_counts,
+    token_files, toxicity, url_filter,
 )
 from obsflow.llm.common import table
 
@@ -71,6 +72,14 @@ def op10_bpe(spark, sf_dir):
     )
 
 
+def op12_centroid_clusters(spark, sf_dir):
+    return centroid_clusters.centroid_clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, size=64, scale=1024, seed="3:")
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), shortest=7, least=2, factor=10, damage=31)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
@@ -82,6 +91,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_nearest_vectors": op9_nearest_vectors,
     "op10_bpe": op10_bpe,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL = {
