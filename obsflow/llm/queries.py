@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from obsflow.llm import (
-    bpe, centroid_clusters, mixing, nearest, ngram_join, quality_rules, spelling, substring_dedup, token_counts,
+    bpe, centroid_clusters, mixing, nearest, ngram_join, prefix_free, quality_rules, spelling, substring_dedup, token_counts,
     token_files, toxicity, url_filter,
 )
 from obsflow.llm.common import table
@@ -72,6 +72,12 @@ def op10_bpe(spark, sf_dir):
     )
 
 
+def op11_suffix_array_dedup(spark, sf_dir):
+    return prefix_free.dedup_bytes(table(spark, sf_dir, "documents"), length=100).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op12_centroid_clusters(spark, sf_dir):
     return centroid_clusters.centroid_clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, size=64, scale=1024, seed="3:")
 
@@ -91,6 +97,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_nearest_vectors": op9_nearest_vectors,
     "op10_bpe": op10_bpe,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
     "op12_centroid_clusters": op12_centroid_clusters,
     "op13_spelling_variants": op13_spelling_variants,
 }
