@@ -48,6 +48,8 @@ LENGTH = 100
 TRIGGER, BITS = 8, 4
 #: Contexts of one shard, and those that follow alike above which a group is taken string by string.
 SHARD, HOT = 20_000, 2_000
+#: Bytes whose hashes are held at a time; a longer document is one stretch.
+CHUNK = 1 << 19
 _FACTORS = (0x9E6C63D0876A9A99, 0xD1342543DE82EF95)
 _BARE = 3
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -130,6 +132,17 @@ def _bytes(texts) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return raw, np.frombuffer(b"".join(raw), np.uint8), np.fromiter(map(len, raw), np.int64, len(raw))
 
 
+def _chunks(counts: np.ndarray):
+    """(first document, document behind the last, first byte, byte behind the last) of stretches of about CHUNK bytes."""
+    ends = np.cumsum(counts)
+    cuts = np.concatenate((np.flatnonzero(np.diff(ends // CHUNK)) + 1, [len(counts)]))
+    a = 0
+    for z in cuts.tolist():
+        if z > a:
+            yield a, z, int(ends[a] - counts[a]), int(ends[z - 1])
+            a = z
+
+
 def _cut_by_piece(at: np.ndarray, bounds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list]:
     """Rows of an exchange that have any of the entries ``at`` (ascending), and the places of these."""
     cuts = np.searchsorted(at, bounds)
@@ -148,12 +161,15 @@ def repeating_places(docs: DataFrame, length: int) -> DataFrame:
         for k, piece in enumerate(pieces(frames)):
             number = task << 24 | k
             texts, raw, counts = _bytes(piece["text"])
-            parse = Parse(raw, counts, length)
-            place = np.concatenate((parse.t, parse.bare))
-            value = np.concatenate((parse.hash(parse.t, first), parse.hash(parse.bare, length, 1)))
-            order = np.argsort(place, kind="stable")
-            order = order[piece["doc_id"].notna().to_numpy()[parse.owner(place[order])]]
-            rows = rows_by_bucket(value[order], place[order], buckets)
+            known, found = piece["doc_id"].notna().to_numpy(), []
+            for a, z, low, high in _chunks(counts):
+                parse = Parse(raw[low:high], counts[a:z], length)
+                place = np.concatenate((parse.t, parse.bare))
+                value = np.concatenate((parse.hash(parse.t, first), parse.hash(parse.bare, length, 1)))
+                order = np.argsort(place, kind="stable")
+                order = order[known[a + parse.owner(place[order])]]
+                found.append((value[order], place[order] + low))
+            rows = rows_by_bucket(*(np.concatenate(x) for x in zip(*found, strict=True)), buckets)
             ids = piece["doc_id"].astype(object).where(piece["doc_id"].notna(), None)
             book = list(zip(ids, piece["mark"].tolist(), counts.tolist(), (hashlib.sha256(t).hexdigest() for t in texts), strict=True))
             none = [None] * len(rows)
@@ -242,10 +258,17 @@ def repeated_contexts(repeating: DataFrame, length: int) -> DataFrame:
         for k, piece in enumerate(pieces(frames)):
             number = task << 24 | k
             _, raw, counts = _bytes(piece["text"])
-            parse = Parse(raw, counts, length)
-            here = np.concatenate([np.frombuffer(p, "<u4").astype(np.int64) + s for p, s in zip(piece["places"], parse.starts, strict=True)])
-            found = _contexts(parse, here, raw)
-            who = parse.owner(found["low"])
+            parts = []
+            for a, z, low, high in _chunks(counts):
+                parse = Parse(raw[low:high], counts[a:z], length)
+                here = [np.frombuffer(p, "<u4").astype(np.int64) + s for p, s in zip(piece["places"].iloc[a:z], parse.starts, strict=True)]
+                part = _contexts(parse, np.concatenate(here), raw[low:high])
+                part["who"] = a + parse.owner(part["low"])
+                for c in ("low", "high", "t"):
+                    part[c] = part[c] - parse.starts[part["who"] - a]  # from the document's start
+                parts.append(part)
+            found = {c: np.concatenate([x[c] for x in parts]) for c in parts[0]}
+            who = found["who"]
             rows = rows_by_bucket(found["key"], np.arange(len(who)), buckets, 8)
             ids = piece["doc_id"].to_numpy(np.int64)
             more = []
@@ -256,14 +279,14 @@ def repeated_contexts(repeating: DataFrame, length: int) -> DataFrame:
                     found["context"][place].astype("<u8").tobytes(), ids[who[place][cut]].astype("<i8").tobytes(),
                     np.diff(np.append(cut, len(place))).astype("<u4").tobytes(),
                 ))
-            base, none = parse.starts[who], [None] * len(rows)
+            none = [None] * len(rows)
             pack = lambda x, kind: none + [x.astype(kind).tobytes()]
             yield pd.DataFrame({
                 "bucket": [b for b, _, _ in rows] + [number % buckets], "piece": number,
                 "places": [p for _, p, _ in rows] + [None], "low": [v for _, _, v in rows] + [None],
                 "context": [c for c, _, _ in more] + [None], "owners": [o for _, o, _ in more] + [None], "owned": [n for _, _, n in more] + [None],
                 "docs": none + [list(zip(ids.tolist(), piece["mark"].tolist(), np.bincount(who, minlength=len(ids)).tolist(), strict=True))],
-                "first": pack(found["low"] - base, "<u4"), "span": pack(found["high"] - found["low"], "<u1"),
+                "first": pack(found["low"], "<u4"), "span": pack(found["high"] - found["low"], "<u1"),
                 "back": pack(found["t"] - found["high"], "<u1"), "level": pack(found["level"], "<u1"),
             })
 
