@@ -20,7 +20,8 @@ fewer than bytes:
    in the corpus stays.
 
 A string without a trigger near enough to its start goes the way of a context of its
-own. Contexts count as equal by two hashes of 64 bits each; in shards bytes are compared.
+own. Contexts count as equal by two hashes, 104 bits and the bucket; in shards bytes are
+compared.
 
 The texts that repeat anything are shuffled once and kept in a table bucketed by
 document; the replies come to it.
@@ -51,7 +52,8 @@ SHARD, HOT = 20_000, 2_000
 #: Bytes whose hashes are held at a time; a longer document is one stretch.
 CHUNK = 1 << 19
 _FACTORS = (0x9E6C63D0876A9A99, 0xD1342543DE82EF95)
-_BARE = 3
+#: A string without a trigger near its start: its range, and what tells it from others where spans are kept.
+_BARE, _BARE_SPAN = 3, 255
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -143,12 +145,28 @@ def _chunks(counts: np.ndarray):
             a = z
 
 
+def _packed(ascending: np.ndarray) -> bytes:
+    """Differences in as few bytes as they need, and that number before them."""
+    steps = np.diff(ascending.astype(np.int64), prepend=0)
+    width = 1 if steps.max(initial=0) < 1 << 8 else 2 if steps.max() < 1 << 16 else 4
+    return bytes([width]) + steps.astype(f"<u{width}").tobytes()
+
+
+def _steps(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
+def _places(rows) -> np.ndarray:
+    """All that was packed, ascending."""
+    return np.sort(np.concatenate([np.zeros(0, np.int64), *(np.cumsum(_steps(raw)) for raw in rows)]))
+
+
 def _cut_by_piece(at: np.ndarray, bounds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list]:
     """Rows of an exchange that have any of the entries ``at`` (ascending), and the places of these."""
     cuts = np.searchsorted(at, bounds)
     some = np.flatnonzero(np.diff(cuts))
-    place = places[at].astype("<u4")
-    return some, [place[cuts[k] : cuts[k + 1]].tobytes() for k in some]
+    place = places[at]
+    return some, [_packed(place[cuts[k] : cuts[k + 1]]) for k in some]
 
 
 def repeating_places(docs: DataFrame, length: int) -> DataFrame:
@@ -200,11 +218,11 @@ def repeating_places(docs: DataFrame, length: int) -> DataFrame:
 
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         book = frame[frame["places"].isna()].iloc[0]["docs"]
-        place = np.sort(np.frombuffer(b"".join(frame["places"][frame["places"].notna()]), "<u4"))
+        place = _places(frame["places"][frame["places"].notna()])
         counts = np.array([d["n_bytes"] for d in book], np.int64)
         ends = np.cumsum(counts)
         cuts = np.concatenate(([0], np.searchsorted(place, ends)))
-        own = [(place[a:z].astype(np.int64) - s).astype("<u4").tobytes() if z > a else None for a, z, s in zip(cuts, cuts[1:], ends - counts)]
+        own = [_packed(place[a:z] - s) if z > a else None for a, z, s in zip(cuts, cuts[1:], ends - counts)]
         return pd.DataFrame({
             "doc_id": pd.Series([d["doc_id"] for d in book], dtype="Int64"), "mark": [d["mark"] for d in book],
             "n_bytes": counts, "sha256": [d["sha256"] for d in book], "places": pd.Series(own, dtype=object),
@@ -261,7 +279,7 @@ def repeated_contexts(repeating: DataFrame, length: int) -> DataFrame:
             parts = []
             for a, z, low, high in _chunks(counts):
                 parse = Parse(raw[low:high], counts[a:z], length)
-                here = [np.frombuffer(p, "<u4").astype(np.int64) + s for p, s in zip(piece["places"].iloc[a:z], parse.starts, strict=True)]
+                here = [np.cumsum(_steps(p)) + s for p, s in zip(piece["places"].iloc[a:z], parse.starts, strict=True)]
                 part = _contexts(parse, np.concatenate(here), raw[low:high])
                 part["who"] = a + parse.owner(part["low"])
                 for c in ("low", "high", "t"):
@@ -269,28 +287,31 @@ def repeated_contexts(repeating: DataFrame, length: int) -> DataFrame:
                 parts.append(part)
             found = {c: np.concatenate([x[c] for x in parts]) for c in parts[0]}
             who = found["who"]
-            rows = rows_by_bucket(found["key"], np.arange(len(who)), buckets, 8)
+            rows = rows_by_bucket(found["key"], np.arange(len(who)), buckets)
             ids = piece["doc_id"].to_numpy(np.int64)
             more = []
             for _, places, low in rows:
-                place = np.cumsum(np.frombuffer(places, f"<u{8 * len(places) // len(low)}"), dtype=np.int64)
+                place = np.cumsum(np.frombuffer(places, f"<u{5 * len(places) // len(low)}"), dtype=np.int64)
                 cut = np.flatnonzero(np.concatenate(([True], who[place][1:] != who[place][:-1])))
                 more.append((
                     found["context"][place].astype("<u8").tobytes(), ids[who[place][cut]].astype("<i8").tobytes(),
                     np.diff(np.append(cut, len(place))).astype("<u4").tobytes(),
                 ))
             none = [None] * len(rows)
-            pack = lambda x, kind: none + [x.astype(kind).tobytes()]
+            new = np.concatenate(([True], who[1:] != who[:-1]))[: len(who)]
+            step = np.where(new, found["low"], np.diff(found["low"], prepend=0))
+            width = 2 if step.max(initial=0) < 1 << 16 else 4
+            span = np.where(found["level"] == _BARE, _BARE_SPAN, found["high"] - found["low"])
             yield pd.DataFrame({
                 "bucket": [b for b, _, _ in rows] + [number % buckets], "piece": number,
                 "places": [p for _, p, _ in rows] + [None], "low": [v for _, _, v in rows] + [None],
                 "context": [c for c, _, _ in more] + [None], "owners": [o for _, o, _ in more] + [None], "owned": [n for _, _, n in more] + [None],
                 "docs": none + [list(zip(ids.tolist(), piece["mark"].tolist(), np.bincount(who, minlength=len(ids)).tolist(), strict=True))],
-                "first": pack(found["low"], "<u4"), "span": pack(found["high"] - found["low"], "<u1"),
-                "back": pack(found["t"] - found["high"], "<u1"), "level": pack(found["level"], "<u1"),
+                "first": none + [bytes([width]) + step.astype(f"<u{width}").tobytes()],
+                "span": none + [span.astype("<u1").tobytes()], "back": none + [(found["t"] - found["high"]).astype("<u1").tobytes()],
             })
 
-    kept = ["piece", "docs", "first", "span", "back", "level"]
+    kept = ["piece", "docs", "first", "span", "back"]
 
     def compare(frames):
         held = [f for f in frames if len(f)]
@@ -303,7 +324,7 @@ def repeated_contexts(repeating: DataFrame, length: int) -> DataFrame:
         rows = rows[rows["low"].notna()]
         if len(rows) == 0:
             return
-        numbers, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows, 8)
+        numbers, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows)
         contexts = np.frombuffer(b"".join(rows["context"]), "<u8")
         ids = np.frombuffer(b"".join(rows["owners"]), "<i8")
         owner = np.repeat(np.arange(len(ids), dtype=np.uint32), np.frombuffer(b"".join(rows["owned"]), "<u4"))
@@ -325,10 +346,14 @@ def repeated_contexts(repeating: DataFrame, length: int) -> DataFrame:
 
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         book = frame[frame["docs"].notna()].iloc[0]
-        first, span, back, level = (np.frombuffer(book[c], k).astype(np.int64) for c, k in (("first", "<u4"), ("span", "<u1"), ("back", "<u1"), ("level", "<u1")))
-        ends = np.cumsum([d["contexts"] for d in book["docs"]])
-        place = {c: np.sort(np.frombuffer(b"".join(frame[c][frame[c].notna()]), "<u4")) for c in ("repeats", "asks")}
-        place["asks"] = place["asks"][level[place["asks"]] != _BARE]
+        step, span, back = _steps(book["first"]), *(np.frombuffer(book[c], "<u1").astype(np.int64) for c in ("span", "back"))
+        counts = np.array([d["contexts"] for d in book["docs"]], np.int64)
+        ends, total = np.cumsum(counts), np.concatenate(([0], np.cumsum(step)))
+        first = total[1:] - np.repeat(total[ends - counts], counts)
+        bare = span == _BARE_SPAN
+        span = np.where(bare, 0, span)
+        place = {c: _places(frame[c][frame[c].notna()]) for c in ("repeats", "asks")}
+        place["asks"] = place["asks"][~bare[place["asks"]]]
         cuts = {c: np.concatenate(([0], np.searchsorted(p, ends))) for c, p in place.items()}
         out = []
         for k, d in enumerate(book["docs"]):
@@ -339,7 +364,7 @@ def repeated_contexts(repeating: DataFrame, length: int) -> DataFrame:
                 out.append((d["doc_id"], d["mark"], runs, list(zip(triggers.tolist(), back[asked].tolist(), (back + span)[asked].tolist(), strict=True))))
         return pd.DataFrame(out, columns=["doc_id", "mark", "runs", "open"])
 
-    doc = "docs array<struct<doc_id: long, mark: long, contexts: int>>, first binary, span binary, back binary, level binary"
+    doc = "docs array<struct<doc_id: long, mark: long, contexts: int>>, first binary, span binary, back binary"
     asked = repeating.mapInPandas(
         ask, f"bucket int, piece long, places binary, low binary, context binary, owners binary, owned binary, {doc}"
     )
@@ -451,8 +476,8 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, *, keep: bool = False) ->
     """
     if not isinstance(docs.schema["doc_id"].dataType, _INTEGERS):
         raise ValueError("doc_id must be an integer column")
-    if length < 3 * TRIGGER:
-        raise ValueError(f"length must be {3 * TRIGGER} or more")
+    if not 3 * TRIGGER <= length < 3 * _BARE_SPAN // 2:
+        raise ValueError(f"length must be from {3 * TRIGGER} to {3 * _BARE_SPAN // 2 - 1}")
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
     every = materialise(repeating_places(texts, length), "bytes-places")
