@@ -21,12 +21,12 @@ reaches its first and its last gram: nothing falls outside the index.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from itertools import combinations
 
 import pandas as pd
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,21 +48,19 @@ def occurrences(docs: DataFrame, shortest: int, damage: int | None) -> DataFrame
     With ``damage`` a run loses one letter where ``damage`` divides the crc32 h of
     "<doc_id>:<run>": the one at h modulo its length.
     """
-    runs = regex.compile(f"{RUN}{{{shortest},}}")
+    runs = re.compile(f"{RUN}{{{shortest},}}")
     lower = str.maketrans(UPPER, LOWER)
 
     def count(frames):
         total: Counter = Counter()
         for part in text_batches(frames):
             for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                found = Counter(runs.findall(text.translate(lower))) if isinstance(text, str) else {}
-                if damage is None:
-                    total.update(found)
-                    continue
+                found = Counter(runs.findall(text)) if isinstance(text, str) else {}
                 start = zlib.crc32(f"{doc_id}:".encode())
                 for word, n in found.items():
-                    h = zlib.crc32(word.encode(), start)
-                    if h % damage == 0:
+                    word = word.translate(lower)
+                    h = zlib.crc32(word.encode(), start) if damage else 0
+                    if damage and h % damage == 0:
                         word = word[: h % len(word)] + word[h % len(word) + 1 :]
                     if len(word) >= shortest:
                         total[word] += n
@@ -152,24 +150,27 @@ def near_words(words: DataFrame) -> DataFrame:
         for frame in frames:
             for at in range(0, len(frame), 5_000):
                 part = frame["word"].iloc[at : at + 5_000]
-                found, owner, letters = [], [], []
+                found, owner, letters, sizes = [], [], [], []
                 for word in part:
                     mine = keys(word, frequency, common, ends)
-                    mask = 0
+                    odd = 0
                     for c in word:
-                        mask |= 1 << ord(c) % 31
+                        odd ^= 1 << ord(c) % 31
                     found += [xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in mine]
                     owner += [word] * len(mine)
-                    letters += [mask] * len(mine)
-                yield pd.DataFrame({"key": pd.Series(found, dtype="int64"), "word": owner, "letters": pd.Series(letters, dtype="int32")})
+                    letters += [odd] * len(mine)
+                    sizes += [len(word)] * len(mine)
+                yield pd.DataFrame({
+                    "key": pd.Series(found, dtype="int64"), "word": owner, "odd": pd.Series(letters, dtype="int32"), "size": pd.Series(sizes, dtype="int32"),
+                })
 
-    listed = materialise(words.select("word").mapInPandas(to_keys, "key long, word string, letters int"), "spelling-keys")
+    listed = materialise(words.select("word").mapInPandas(to_keys, "key long, word string, odd int, size int"), "spelling-keys")
     a, b = listed.alias("a"), listed.alias("b")
-    # One edit changes at most two of the letters that occur, and the length by one.
+    # One edit changes the length by at most one, and which letters occur an odd number of times by two.
     alike = (
-        (F.col("a.word") < F.col("b.word"))
-        & (F.bit_count(F.col("a.letters").bitwiseXOR(F.col("b.letters"))) <= 2)
-        & F.abs(F.length("a.word") - F.length("b.word")).isin(0, 1)
+        (F.bit_count(F.col("a.odd").bitwiseXOR(F.col("b.odd"))) <= 2)
+        & (F.abs(F.col("a.size") - F.col("b.size")) <= 1)
+        & (F.col("a.word") < F.col("b.word"))
         & (F.levenshtein("a.word", "b.word", 1) == 1)
     )
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & alike).select(F.col("a.word").alias("word"), F.col("b.word").alias("near"))
