@@ -502,3 +502,23 @@ UNION ALL SELECT * FROM one a WHERE {IDENTIFIABLE} AND NOT EXISTS (
 }
 
 ORACLE_SQL["lookup_location_or_shuffled"] = ORACLE_SQL["lookup_location_or"]
+ORACLE_SQL["land_raw_minute_deltas"] = ORACLE_SQL["land_raw_minute"]
+ORACLE_SQL["land_raw_deltas"] = _with(
+    f"SELECT obs_id, requested_city AS city, method, {BUCKET}, temp_c FROM landed", "obs", landed=LANDED.replace("@unit", "hour")
+)
+ORACLE_SQL["stream_latest"] = ORACLE_SQL["land_raw_deltas"]
+ORACLE_SQL["missing_spans"] = _with(
+    """SELECT method, city, min(h)::TIMESTAMP AS gap_from, max(h)::TIMESTAMP AS gap_to, count(*)::BIGINT AS hours
+FROM (
+  SELECT m.method, c.city, hours.h, date_diff('hour', TIMESTAMP '2024-01-01', hours.h) - row_number() OVER (PARTITION BY m.method, c.city ORDER BY hours.h) AS island
+  FROM (SELECT DISTINCT c_name AS city FROM customer) c
+  CROSS JOIN (VALUES ('current'), ('sports'), ('astronomy'), ('marine')) m(method)
+  CROSS JOIN (SELECT unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 1 HOUR)) AS h) hours
+  WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.method = m.method AND l.city = c.city AND l.h = hours.h)
+)
+GROUP BY method, city, island""",
+    "obs",
+    landed="""SELECT DISTINCT CASE condition_txt WHEN 'click' THEN 'current' WHEN 'view' THEN 'sports'
+  WHEN 'purchase' THEN 'astronomy' ELSE 'marine' END AS method, requested_city AS city,
+  date_trunc('hour', ingest_ts) AS h FROM obs WHERE requested_city IS NOT NULL""",
+)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions import documents, text, times
-from obsflow.operators import clean, contract, flatten, keys, quality, rownum
+from obsflow.operators import clean, contract, flatten, gaps, keys, quality, rownum
 from obsflow.operators.latest import latest_per_city_hour
 from obsflow.operators.lookup import first_id_by
 from obsflow.plans import dimensions, facts, feeds
@@ -28,9 +28,10 @@ from obsflow.schemas import (
     struct,
 )
 from obsflow.scratch import scratch_path
-from obsflow.sinks import tables
+from obsflow.sinks import deltas, tables
 from obsflow.sources import landing, requests
 from obsflow.streaming.incremental import incremental_load
+from obsflow.streaming.latest import stream_latest
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,7 @@ QUERIES: dict[str, Query] = {}
 
 RUN_TS = datetime(2024, 2, 1, 9, 0)
 SCAN_HOUR = datetime(2024, 1, 15, 10)
+HISTORY = datetime(2024, 1, 1, 0), datetime(2024, 1, 31, 23)
 
 
 def query(fn: Query) -> Query:
@@ -125,14 +127,27 @@ def request_grid(spark, d):
 @query
 def missing_payloads(spark, d):
     """What has not landed in one hour, of all requests."""
+    landed = times.with_hour_bucket(answered(spark, d), F.col("method"), F.col("ingest_ts"))
+    return requests.missing_in_hour(request_grid(spark, d), landed, SCAN_HOUR)
+
+
+def answered(spark, d):
+    """Observations as answers to requests: (ingest_ts, city, method)."""
     kind = F.col("condition_txt")
     method = (
         F.when(kind == "click", "current").when(kind == "view", "sports")
         .when(kind == "purchase", "astronomy").otherwise("marine")
     )
-    landed = views.observations(spark, d).select("ingest_ts", F.col("requested_city").alias("city"), method.alias("m"))
-    landed = times.with_hour_bucket(landed, F.col("m"), F.col("ingest_ts"))
-    return requests.missing_in_hour(request_grid(spark, d), landed, SCAN_HOUR)
+    return views.observations(spark, d).select("ingest_ts", F.col("requested_city").alias("city"), method.alias("method"))
+
+
+@query
+def missing_spans(spark, d):
+    """Runs of hours without a payload, per request, over the whole history; bitmaps of two halves merged."""
+    landed = answered(spark, d)
+    early = F.col("ingest_ts") < F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    halves = gaps.hour_bitmaps(landed.where(early)).unionByName(gaps.hour_bitmaps(landed.where(~early)))
+    return gaps.missing_spans(request_grid(spark, d), gaps.merge_bitmaps(halves), *HISTORY)
 
 
 @query
@@ -173,6 +188,30 @@ def land_raw(spark, d):
     return spark.read.parquet(path).select("obs_id", "city", *HOUR_BUCKET, temp.alias("temp_c"))
 
 
+@query
+def land_raw_deltas(spark, d):
+    """Overlapping batches, the later payloads first; some of the days compacted between them."""
+    texts = raw_texts(spark, d)
+    landing_ = deltas.hour_landing(spark, scratch_path(spark, "landing-deltas"), texts.schema, tie=["obs_id"], by=deltas.DAY_BUCKET)
+    landing_.land(texts.where("obs_id % 3 <> 1"))
+    landing_.table.compact(datetime(2024, 1, 16), most=12)
+    landing_.land(texts.where("obs_id % 3 <> 2"))
+    temp = F.get_json_object("payload", "$.current.temp_c").cast("double")
+    return landing_.table.read().select("obs_id", "city", *HOUR_BUCKET, temp.alias("temp_c"))
+
+
+@query
+def land_raw_minute_deltas(spark, d):
+    """Many batches in no order, one of them twice, with compactions between."""
+    texts = raw_texts(spark, d)
+    landing_ = deltas.minute_landing(spark, scratch_path(spark, "landing-deltas"), texts.schema, tie=["obs_id"])
+    for k, batch in enumerate((5, 0, 3, 6, 1, 5, 2, 4)):
+        landing_.land(texts.where(F.pmod(F.xxhash64("obs_id"), F.lit(7)) == batch))
+        if k in (2, 5):
+            landing_.table.compact(datetime(2024, 1, 20), most=12)
+    return landing_.table.read().select("obs_id", "method", "minute_bucket", "city")
+
+
 @query
 def land_raw_minute(spark, d):
     path = scratch_path(spark, "landing-minute")
@@ -657,6 +696,28 @@ def incremental_load_rows(spark, d):
 QUERIES["incremental_load"] = QUERIES.pop("incremental_load_rows")
 
 
+@query
+def stream_latest_rows(spark, d):
+    """Drops out of order, one of them twice, and a restart between: the last payload of each request and hour."""
+    drops, marks = scratch_path(spark, "drops"), scratch_path(spark, "marks")
+    texts = raw_texts(spark, d)
+    parsed = texts.select("obs_id", "ingest_ts", "method", "city", F.lit(0.0).alias("temp_c"))
+    landing_ = deltas.hour_landing(spark, scratch_path(spark, "latest"), parsed.schema, tie=["obs_id"], by=deltas.DAY_BUCKET)
+
+    def plan(rows):
+        temp = F.get_json_object("payload", "$.current.temp_c").cast("double")
+        rows = rows.select("obs_id", "ingest_ts", "method", "city", temp.alias("temp_c"))
+        return times.with_hour_bucket(rows, F.col("method"), F.col("ingest_ts")).withColumn("minute_bucket", times.minute_bucket(F.col("ingest_ts")))
+
+    for batch in ("obs_id % 3 = 2", "obs_id % 3 = 0", "obs_id % 3 = 2", "obs_id % 3 = 1"):
+        texts.where(batch).write.mode("append").json(drops)
+        stream_latest(spark, drops, texts.schema, landing_.table, marks, plan=plan, multi_line=False)
+    return landing_.table.read().select("obs_id", "city", *HOUR_BUCKET, "temp_c")
+
+
+QUERIES["stream_latest"] = QUERIES.pop("stream_latest_rows")
+
+
 @query
 def hourly_run(spark, d):
     """Raw payloads to facts through stored dimensions, run twice: the same tables result."""
