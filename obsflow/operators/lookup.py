@@ -57,25 +57,28 @@ def lookup(
     *,
     broadcast: bool,
     counted: DataFrame | None = None,
+    hot: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Left join ``rows`` to ``dim``, which has one row per ``keys``.
 
     ``broadcast`` says that the dimension was measured and is small. Otherwise
     the frequent keys are counted in ``counted``: the rows as they were before
-    any earlier lookup, so that lookups in a chain do not repeat one another.
+    any earlier lookup, so that lookups in a chain do not repeat one another. ``hot``
+    names at most ``hot_keys`` frequent keys where they are known already.
     """
     keys = list(keys)
     if broadcast:
         values = [c for c in dim.columns if c not in keys]
         return rows.join(F.broadcast(dim), keys, "left").select(*rows.columns, *values)
-    return _spread_lookup(rows, dim, keys, rows if counted is None else counted, hot_keys)
+    if hot is None:
+        hot = frequent_keys(rows if counted is None else counted, keys, hot_keys)
+    return _spread_lookup(rows, dim, keys, hot)
 
 
-def _spread_lookup(rows, dim, keys, counted, hot_keys) -> DataFrame:
+def _spread_lookup(rows, dim, keys, hot) -> DataFrame:
     values = [c for c in dim.columns if c not in keys]
     # Which keys are listed only decides the way a row takes, never its result.
-    hot = frequent_keys(counted, keys, hot_keys)
     hot_dim = (
         hot.join(F.broadcast(dim.join(F.broadcast(hot), keys, "left_semi")), keys, "left")
         .withColumnsRenamed({v: f"_hot_{v}" for v in values})

@@ -522,3 +522,4 @@ GROUP BY method, city, island""",
   WHEN 'purchase' THEN 'astronomy' ELSE 'marine' END AS method, requested_city AS city,
   date_trunc('hour', ingest_ts) AS h FROM obs WHERE requested_city IS NOT NULL""",
 )
+ORACLE_SQL["lookup_location_stored"] = ORACLE_SQL["lookup_location_or"]

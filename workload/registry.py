@@ -12,6 +12,7 @@ from obsflow.functions import documents, text, times
 from obsflow.operators import clean, contract, flatten, gaps, keys, quality, rownum
 from obsflow.operators.latest import latest_per_city_hour
 from obsflow.operators.lookup import first_id_by
+from obsflow.operators.stored_keys import StoredKeys, lookup_stored_location
 from obsflow.plans import dimensions, facts, feeds
 from obsflow.plans.hourly import Lakehouse, run_hour
 from obsflow.schemas import (
@@ -27,7 +28,7 @@ from obsflow.schemas import (
     bucketed,
     struct,
 )
-from obsflow.scratch import scratch_path
+from obsflow.scratch import materialise, scratch_path
 from obsflow.sinks import deltas, tables
 from obsflow.sources import landing, requests
 from obsflow.streaming.incremental import incremental_load
@@ -372,6 +373,21 @@ def lookup_location_or_shuffled(spark, d):
     return keys.lookup_location(rows, views.locations(spark, d), broadcast_bytes=0)
 
 
+@query
+def lookup_location_stored(spark, d):
+    """The same lookup against stored keys, the second half of the locations added to them later."""
+    rows = cleaned_places(spark, d).select("obs_id", "city", "lat", "long")
+    known = views.locations(spark, d)
+    path = scratch_path(spark, "stored-keys")
+    stored = StoredKeys(spark, f"locations_{path[-32:]}", path, 8)
+    early = known.where(F.col("id") <= known.agg(F.floor(F.max("id") / 2).alias("m")).first().m)
+    stored.store(early)
+    stored.add(known.join(early.select("id"), "id", "left_anti"))
+    found = materialise(lookup_stored_location(rows, stored), "looked-up")
+    stored.drop()
+    return found
+
+
 @query
 def lookup_country(spark, d):
     rows = cleaned_places(spark, d).select("obs_id", "country")
