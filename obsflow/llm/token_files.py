@@ -88,10 +88,16 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     spark = docs.sparkSession
     shards = partitions(spark)
 
+    size = max(tokenizer(tokenizer_path).get_vocab_size(), end_id + 1)
+    kind = "<u2" if size <= 1 << 16 else "<u4"  # of ids before they are ranked
+    width = np.dtype(kind).itemsize
+
     def encode(frames):
         words, end = word_ids(tokenizer_path), np.uint32(end_id).tobytes()
         for part in text_batches(frames):
             ids = [(words.text(t) if isinstance(t, str) else b"") + end for t in part["text"]]
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4 * width
+            ids = _cut(np.frombuffer(b"".join(ids), "<u4").astype(kind).tobytes(), ends)
             yield part[["doc_id"]].assign(ids=pd.Series(ids, index=part.index, dtype=object))
 
     key = docs.schema["doc_id"].dataType.simpleString()
@@ -100,12 +106,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     encoded.write.option("compression", "zstd").parquet(once)
     unranked = spark.read.parquet(once)
 
-    size = max(tokenizer(tokenizer_path).get_vocab_size(), end_id + 1)
-
     def count(frames):
         total = np.zeros(size, np.int64)
-        for frame in _portions(frames, lambda f: f["ids"].str.len().to_numpy(np.int64) // 4):
-            total += np.bincount(np.frombuffer(b"".join(frame["ids"]), "<u4"), minlength=size)
+        for frame in _portions(frames, lambda f: f["ids"].str.len().to_numpy(np.int64) // width):
+            total += np.bincount(np.frombuffer(b"".join(frame["ids"]), kind), minlength=size)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"id": seen, "seen": total[seen]})
 
@@ -123,9 +127,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
     def place(frames):
         shard, first = TaskContext.get().partitionId(), 0
-        for frame in _portions(frames, lambda f: f["ids"].str.len().to_numpy(np.int64) // 4):
-            n = frame["ids"].str.len().to_numpy(np.int64) // 4
-            control, data = pack(ranks.value[np.frombuffer(b"".join(frame["ids"]), "<u4")], n)
+        for frame in _portions(frames, lambda f: f["ids"].str.len().to_numpy(np.int64) // width):
+            n = frame["ids"].str.len().to_numpy(np.int64) // width
+            control, data = pack(ranks.value[np.frombuffer(b"".join(frame["ids"]), kind)], n)
             before = first + np.cumsum(n) - n
             first += int(n.sum())
             yield pd.DataFrame({
