@@ -37,6 +37,10 @@ CELL = 512
 BLOCK = 4_096
 SHARD = 32_768
 QUERIES = 16_384
+#: Centroids a half, at most: 262,144 cells, whose sizes the driver holds.
+MOST = 512
+#: More than a matrix product of some thousand components can be off, by the vectors' lengths.
+_ROUNDING = 1e-12
 
 
 def _matrix(column) -> np.ndarray:
@@ -99,14 +103,25 @@ def best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.nd
     return order[np.arange(len(order)) - first < k]
 
 
-def top_of(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of a matrix that are among the ``k`` largest of their row, with all ties."""
+def top_of(scores: np.ndarray, k: int, slack: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of a matrix that are among the ``k`` largest of their row, with all that are ``slack`` below."""
     if scores.shape[1] <= k:
         return np.nonzero(scores > -np.inf)
-    least = np.partition(scores, -k, axis=1)[:, -k]
+    least = np.partition(scores, -k, axis=1)[:, -k] - slack
     return np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, summed from the first component to the last: equal rows have equal products.
+
+    A matrix product sums in an order that depends on its shape and on a row's place in it.
+    """
+    out = np.zeros(len(a))
+    for x, y in zip(a.T, b.T, strict=True):
+        out += x * y
+    return out
+
+
 def answer(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """The best of one shard: queries (query_id, cells, v), candidates (vec_id, cell, v)."""
     asked, own = _matrix(queries["v"]), queries["query_id"].to_numpy()
@@ -115,11 +130,12 @@ def answer(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFr
     found = []
     for cell, part in candidates.groupby("cell"):
         ids, vectors = part["vec_id"].to_numpy(), _matrix(part["v"]).T
+        longest = np.linalg.norm(vectors, axis=0).max()
         for q in np.array_split(rows[visited == cell], max(1, int((visited == cell).sum()) // 512)):
             scores = asked[q] @ vectors
             scores[own[q][:, None] == ids] = -np.inf
-            r, c = top_of(scores, k)
-            found.append((own[q][r], ids[c], scores[r, c]))
+            r, c = top_of(scores, k, _ROUNDING * np.linalg.norm(asked[q], axis=1) * longest)
+            found.append((own[q][r], ids[c], products(asked[q][r], vectors.T[c])))
     query, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
     kept = best(query, ids, score, k)
     return pd.DataFrame({"query_id": query[kept], "vec_id": ids[kept], "score": score[kept]})
@@ -133,28 +149,31 @@ def nearest_vectors(
 
     Candidates are all rows but the query's own; the largest inner product is nearest,
     ties go to the smaller id. ``recall``: share of the true neighbours to be found,
-    as measured on the calibration queries. ``per_half``: centroids a half. A query with
+    as measured on the calibration queries. ``per_half``: centroids a half, else the root
+    of the number of vectors over ``CELL``, from 4 to ``MOST``. A query with
     fewer than ``k`` candidates gets all of them.
 
     Vectors that are NULL, zero, or hold a NULL or non-finite component take no part,
-    nor do rows without an id. All vectors are to have one length; a longer or shorter
-    one is an error. Rows repeated under one id are candidates of their own for other
+    nor do rows without an id, nor vectors of another length than most have (of equally
+    frequent lengths the smallest counts). Rows repeated under one id are candidates of their own for other
     queries; as queries they count once. Other columns are ignored; no vectors: no rows.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
     key = vectors.schema[id_col].dataType.simpleString()
     out = f"query_id {key}, vec_id {key}, score double"
-    n = rows.count()
+    usual = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    n = usual["count"] if usual else 0
     if n == 0:
         return spark.createDataFrame([], f"query_id {key}, rank int, vec_id {key}, score double")
 
+    rows = rows.where(F.size("v") == usual["size"])
     sample = _matrix(
         r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(SAMPLE).collect()
     )
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
     half = max(1, sample.shape[1] // 2)
-    count = per_half or int(min(32, max(4, round((n / CELL) ** 0.5))))
+    count = per_half or int(min(MOST, max(4, round((n / CELL) ** 0.5))))
     a, b = centroids(sample[:, :half], count), centroids(sample[:, half:], count)
     book = spark.sparkContext.broadcast((a, b))  # 2 * per_half centroids
 

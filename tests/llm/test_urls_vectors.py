@@ -105,3 +105,30 @@ def test_query_recall(spark, sf_dir):
         found.setdefault(r.query_id, {})[r.vec_id] = r.score
     hits = sum(len(found[q].keys() & {v for v, _ in best}) for q, best in true.items())
     assert hits / sum(map(len, true.values())) >= 0.9
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((800, 64)).astype(np.float32).astype(float)
+    rows = [(i, base[i].tolist()) for i in range(800)] + [(800 + i, base[3 + i % 2].tolist()) for i in range(400)]  # two vectors, 201 times each
+    rows += [(5000, []), (5001, [1.0] * 63), (5020, [1.0] * 65)]
+    true = exact([r for r in rows if r[0] < 5000], 20, 20)
+    for parts in (1, 7):
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts)
+        found = {}
+        for r in nearest.nearest_vectors(frame, recall=1.0).collect():
+            found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+        assert set(found) == set(true)
+        for q, got in found.items():
+            v = np.array(dict(rows)[q])
+            ordered = [(i, s) for _, i, s in sorted(got)]
+            assert ordered == sorted(ordered, key=lambda x: (-x[1], x[0]))
+            score = {}
+            for i, s in ordered:
+                assert abs(s - float(v @ np.array(rows[i][1]))) < 1e-9
+                score.setdefault(tuple(rows[i][1]), set()).add(s)
+            assert all(len(s) == 1 for s in score.values())  # equal vectors, equal scores
+            for same in (3, 4):
+                copies = [same, *range(797 + same, 1200, 2)]
+                taken = [i for i, _ in ordered if i in copies]
+                assert taken == [i for i in copies if i != q][: len(taken)]
