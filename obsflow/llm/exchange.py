@@ -55,7 +55,7 @@ def windows_within(values: np.ndarray, counts: np.ndarray, size: int) -> tuple[n
 
 
 def rows_by_bucket(values: np.ndarray, places: np.ndarray, buckets: int, width: int = 5) -> list[tuple[int, bytes, bytes]]:
-    """(bucket, places, values) packed, five or all eight bytes of a value; ``places`` must not decrease."""
+    """(bucket, places, values) packed, five, seven or all eight bytes of a value; ``places`` must not decrease."""
     bucket = (values >> np.uint64(40)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -72,14 +72,15 @@ def rows_by_bucket(values: np.ndarray, places: np.ndarray, buckets: int, width:
 
 
 def unpacked(bucket: int, places: bytes, low: bytes, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Values (whole, or 40 bits and the bucket above them) and places of a row."""
+    """Values (whole, 56 bits, or 40 bits and the bucket above them) and places of a row."""
     n = len(low) // width
     steps = np.cumsum(np.frombuffer(places, f"<u{len(places) // n}"), dtype=np.int64)
     if width == 8:
         return np.frombuffer(low, "<u8"), steps
     wide = np.zeros((n, 8), np.uint8)
     wide[:, :width] = np.frombuffer(low, np.uint8).reshape(-1, width)
-    return wide.view("<u8").reshape(-1) | np.uint64(bucket << 40), steps
+    values = wide.view("<u8").reshape(-1)
+    return values | np.uint64(bucket << 40) if width == 5 else values, steps
 
 
 def flat(rows: pd.DataFrame, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

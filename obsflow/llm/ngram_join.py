@@ -1,4 +1,4 @@
-"""Exact Jaccard join of n-gram sets with prefix trees.
+"""Jaccard join of n-gram sets with prefix trees.
 
 1. Every text gives its set of distinct 5-word shingles. A packed exchange tells which
    of them occur in several documents, and in how many. A document with over a quarter
@@ -15,6 +15,12 @@
    global order, and one traversal counts the overlap with all of them, shared along
    common beginnings; a subtree is left as soon as its remaining length cannot reach
    the overlap that is needed.
+
+Words are not compared: a shingle is its hash. A token holds 56 bits of it and its
+frequency, and sets count as equal only if a hash over all 64 bits of all their shingles
+agrees as well. So two short texts are taken for one with a chance of 2^-64 a pair, and a
+link between longer ones is wrong only where a token of 56 bits makes up the one shingle
+that they lack.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import partitions
+from obsflow.llm.common import mixed, partitions
 from obsflow.llm.components import components
 from obsflow.llm.exchange import (
     flat, pieces, rows_by_bucket, slices, window_values, windows_within, word_values,
@@ -35,6 +41,8 @@ from obsflow.llm.exchange import (
 from obsflow.scratch import materialise
 
 SHINGLE = 5
+#: Bytes of a shingle's hash in the exchange; the eighth byte of a token is its rank.
+HASH = 7
 
 
 def shingle_sets(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -109,11 +117,11 @@ def tree_overlaps(root: list, probe: np.ndarray, needed: np.ndarray) -> dict[int
 
 
 def shared_sets(docs: DataFrame) -> DataFrame:
-    """(node, doc_id, mark, n, tokens): every document with its number of shingles.
+    """(node, doc_id, mark, whole, n, tokens): every document with its number of shingles.
 
     ``tokens`` holds the shingles that other documents have too, in the global order
     (rare ones first), where they are three quarters or more of the set; else NULL.
-    ``node`` numbers the rows, ``mark`` is a hash of the text.
+    ``node`` numbers the rows, ``mark`` is a hash of the text, ``whole`` one of the set.
     """
     buckets = partitions(docs.sparkSession)
     key = docs.schema["doc_id"].dataType.simpleString()
@@ -124,12 +132,17 @@ def shared_sets(docs: DataFrame) -> DataFrame:
             number = task << 24 | k
             doc, value = shingle_sets(piece["text"])
             sizes = np.bincount(doc, minlength=len(piece))
-            rows = rows_by_bucket(value, doc, buckets)
+            rows = rows_by_bucket(value, doc, buckets, HASH)
+            with np.errstate(over="ignore"):
+                sums = np.concatenate(([np.uint64(0)], np.cumsum(mixed(value + np.uint64(SHINGLE)), dtype=np.uint64)))
+                ends = np.cumsum(sizes)
+                whole = (sums[ends] - sums[ends - sizes]).view(np.int64)
             yield pd.DataFrame({
                 "bucket": [b for b, _, _ in rows] + [number % buckets], "piece": number,
                 "places": [p for _, p, _ in rows] + [None], "low": [v for _, _, v in rows] + [None],
                 "ids": [None] * len(rows) + [piece["doc_id"].astype(object).where(piece["doc_id"].notna(), None).tolist()],
                 "marks": [None] * len(rows) + [piece["mark"].tolist()],
+                "wholes": [None] * len(rows) + [whole.tolist()],
                 "sizes": [None] * len(rows) + [sizes.tolist()],
             })
 
@@ -140,11 +153,11 @@ def shared_sets(docs: DataFrame) -> DataFrame:
         rows = pd.concat(held, ignore_index=True)
         book = rows[rows["low"].isna()]
         if len(book):
-            yield book[["piece", "ids", "marks", "sizes"]].assign(places=None, tokens=None)
+            yield book[["piece", "ids", "marks", "wholes", "sizes"]].assign(places=None, tokens=None)
         rows = rows[rows["low"].notna()]
         if len(rows) == 0:
             return
-        pieces_, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows)
+        pieces_, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows, HASH)
         del rows, held
         for at, order, starts in slices(values):
             counts = np.diff(np.append(starts, len(order)))
@@ -157,7 +170,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
             cuts = np.searchsorted(at, bounds)
             some = np.flatnonzero(np.diff(cuts))
             yield pd.DataFrame({
-                "piece": pieces_[some], "ids": None, "marks": None, "sizes": None,
+                "piece": pieces_[some], "ids": None, "marks": None, "wholes": None, "sizes": None,
                 "places": pd.Series([place[cuts[k] : cuts[k + 1]].tobytes() for k in some], dtype=object),
                 "tokens": pd.Series([tokens[cuts[k] : cuts[k + 1]].astype("<i8").tobytes() for k in some], dtype=object),
             })
@@ -175,17 +188,17 @@ def shared_sets(docs: DataFrame) -> DataFrame:
         sets = [s if ok else None for s, ok in zip(np.split(token[order], cuts), near, strict=True)]
         return pd.DataFrame({
             "node": (int(book["piece"]) << 16) + np.arange(len(n)), "doc_id": pd.Series(list(book["ids"]), dtype=object),
-            "mark": list(book["marks"]), "n": n, "tokens": pd.Series(sets, dtype=object),
+            "mark": list(book["marks"]), "whole": list(book["wholes"]), "n": n, "tokens": pd.Series(sets, dtype=object),
         })
 
-    book = f"ids array<{key}>, marks array<long>, sizes array<int>"
+    book = f"ids array<{key}>, marks array<long>, wholes array<long>, sizes array<int>"
     asked = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInPandas(
         ask, f"bucket int, piece long, places binary, low binary, {book}"
     )
     told = asked.repartition(buckets, "bucket").mapInPandas(
         compare, f"piece long, places binary, tokens binary, {book}"
     )
-    return told.groupBy("piece").applyInPandas(gather, f"node long, doc_id {key}, mark long, n long, tokens array<long>")
+    return told.groupBy("piece").applyInPandas(gather, f"node long, doc_id {key}, mark long, whole long, n long, tokens array<long>")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -225,7 +238,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     every = materialise(shared_sets(docs), "shingle-sets")
     near = every.where("tokens IS NOT NULL")
     # Equal sets: all shingles shared, and the same ones.
-    same = F.when(F.size("tokens") == F.col("n"), F.md5(F.concat_ws(",", F.col("tokens").cast("array<string>")))).otherwise(F.col("node").cast("string"))
+    same = F.when(F.size("tokens") == F.col("n"), F.md5(F.concat_ws(",", F.col("whole").cast("string"), F.col("tokens").cast("array<string>")))).otherwise(F.col("node").cast("string"))
     near = near.withColumn("same", same)
     first = near.groupBy("same").agg(F.min("node").alias("first"))
     copies = near.select("node", "same").join(first, "same").where("node <> first")
@@ -252,10 +265,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         postings.join(joined, "node", "left")
         .select("token", "node", "n", "place", F.coalesce("component", "node").alias("component"))
     )
-    mixed_tokens = labelled.groupBy("token").agg(
+    several = labelled.groupBy("token").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     ).where("least < most").select("token")
-    open_rows = materialise(labelled.join(mixed_tokens, "token"), "open-postings")
+    open_rows = materialise(labelled.join(several, "token"), "open-postings")
     left = open_rows.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
     right = open_rows.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
     # A pair needs an overlap of ceil(3 (na + nb) / 7), so it shares one of the first

@@ -38,6 +38,13 @@ def test_ngram_join(copies):
     assert ngram_join.document_components(frame.limit(0)).count() == 0
 
 
+def test_shingles_that_share_forty_bits(spark, settings):
+    settings(spark__sql__shuffle__partitions="200")
+    rows = [(1, "w218 w1873 w3848 w416 w1860"), (2, "w4163 w3913 w3515 w1399 w561")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(tuple(r) for r in ngram_join.document_components(frame).collect()) == [(1, 1, 1), (2, 1, 2)]
+
+
 def test_one_of_each(copies):
     rows, frame = copies
     kept = ngram_join.one_of_each(frame)
