@@ -8,6 +8,7 @@ no piece crosses it, NFC never composes across it and the added tokens hold none
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 from functools import lru_cache
 
@@ -50,16 +51,12 @@ class WordIds:
         self.tokenizer = tokenizer(path)
         self.model = self.tokenizer.model
         self._symbols = str.maketrans(dict(enumerate(byte_symbols())))
-        self._words = Bounded(self._word, CACHED_WORDS)
-        self._pieces = Bounded(self._piece, CACHED_PIECES)
+        self._words = Bounded(self._word, CACHED_WORDS, LONGEST_CACHED)
+        self._pieces = Bounded(self._piece, CACHED_PIECES, LONGEST_CACHED)
 
     def text(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        words = text.encode().split()
-        if len(max(words, key=len, default=b"")) > LONGEST_CACHED:
-            known = self._words
-            return b"".join([known[w] if len(w) <= LONGEST_CACHED else self._word(w) for w in words])
-        return b"".join(map(self._words.__getitem__, words))
+        return b"".join(map(self._words.__getitem__, text.encode().split()))
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
@@ -73,13 +70,14 @@ class WordIds:
         if UNUSUAL.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(
-            self._pieces[p] if len(p) <= LONGEST_CACHED else self._piece(p)
+            self._pieces[p]
             for p in PIECES.findall(unicodedata.normalize("NFC", text).lower())
         )
 
     def _piece(self, piece: str) -> bytes:
         symbols = piece.encode().decode("latin-1").translate(self._symbols)
-        return np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)

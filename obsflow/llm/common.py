@@ -48,12 +48,13 @@ class Bounded(dict):
     """Remembers about ``size`` to twice ``size`` results of a pure function.
 
     When full, the younger half becomes the older one and what is used again
-    moves back, so frequent keys stay and memory is bounded.
+    moves back, so frequent keys stay and memory is bounded. Keys longer than ``longest``
+    are computed each time.
     """
 
-    def __init__(self, compute, size: int):
+    def __init__(self, compute, size: int, longest: int | None = None):
         super().__init__()
-        self._compute, self._size, self._older = compute, size, {}
+        self._compute, self._size, self._longest, self._older = compute, size, longest, {}
 
     def empty(self) -> None:
         self.clear()
@@ -63,6 +64,8 @@ class Bounded(dict):
         value = self._older.get(key)
         if value is None:
             value = self._compute(key)
+            if self._longest is not None and len(key) > self._longest:
+                return value
         if len(self) >= self._size:
             self._older = dict(self)
             self.clear()
