@@ -63,11 +63,11 @@ def lookup_location(
     on = [c for c, used in (("city", use_city), ("lat", use_coords), ("long", use_coords)) if used]
     # A struct is never NULL itself, so places with gaps find themselves again.
     placed = rows.withColumn("_place", F.struct(*on))
-    # Counted and resolved once, and written: the counts name the frequent places of the last join.
+    # Counted once and written: the counts also name the frequent places of the last join.
     places = materialise(placed.groupBy("_place").agg(F.count(F.lit(1)).alias("_rows")), "places")
-    found = materialise(resolved(places.select("*", "_place.*")).select("_place", "_rows", out), "places-found")
-    hot = found.orderBy(F.desc("_rows"), "_place").limit(HOT_KEYS).select("_place")
-    return lookup(placed, found.drop("_rows"), ["_place"], broadcast=False, hot=hot).drop("_place")
+    found = resolved(places.select("_place", "_place.*")).select("_place", out)
+    hot = places.orderBy(F.desc("_rows"), "_place").limit(HOT_KEYS).select("_place")
+    return lookup(placed, found, ["_place"], broadcast=False, hot=hot).drop("_place")
 
 
 def lookup_country(
