@@ -27,8 +27,19 @@ def n_words(text) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def plainly_named(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """The frame with all columns but ``used`` named by their place, and the columns that give it back as it was.
+
+    What an operator adds then clashes with no name a user may have chosen.
+    """
+    plain = [c if c in used else f"column_{i}" for i, c in enumerate(docs.columns)]
+    quoted = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    renamed = docs.select(*(F.col(q).alias(p) for q, p in zip(quoted, plain, strict=True)))
+    return renamed, [F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)]
+
+
 def partitions(spark: SparkSession) -> int:
-    """Number of shuffle partitions: grows with the cluster and the data."""
+    """Number of shuffle partitions, a setting to be raised with the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import n_words, partitions
+from obsflow.llm.common import n_words, partitions, plainly_named
 
 SYMBOLS = "#*$%&|<>"
 
@@ -121,8 +121,10 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, with the columns it had."""
-    mix = mix_sources(docs, **options).where("mix_copies > 0")
-    return mix.select(
-        *docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int"))).alias("mix_copy")
-    ).drop("mix_copy")
+    """The mix itself: each document as many times as it is taken, with the columns it had, whatever their names.
+
+    See mix_sources for NULLs, empty texts, repeated rows and the end of the budget.
+    """
+    plain, given = plainly_named(docs, "doc_id", "text", "source")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int"))).alias("mix_copy")
+    return mix_sources(plain, **options).where("mix_copies > 0").select("*", copies).select(*given)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import mixed, partitions
+from obsflow.llm.common import mixed, partitions, plainly_named
 from obsflow.llm.components import components
 from obsflow.llm.exchange import (
     flat, pieces, rows_by_bucket, slices, window_values, windows_within, word_values,
@@ -293,13 +293,18 @@ def document_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents less all but one of each component: the one of smallest doc_id (NULL last), then row number."""
+    """The documents less all but one of each component: the one of smallest doc_id (NULL last), then row number.
+
+    NULL and empty texts all stay, repeated rows leave one, texts of any length are compared
+    whole. Other columns come back as they are, whatever their names. No documents: no rows.
+    """
     found = materialise(similar_documents(docs), "similar")
+    plain, given = plainly_named(docs, "doc_id", "text")
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("f"))
     stay = found.join(first.select(F.col("f.node").alias("node")), "node", "left_semi")
     stay = stay.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.count("*").alias("_rows"))
     equal = Window.partitionBy("_id", "_mark").orderBy("_rows")
     return (
-        docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark")))
-        .withColumn("_row", F.row_number().over(equal)).where("_row <= _rows").select(*docs.columns)
+        plain.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark")))
+        .withColumn("_row", F.row_number().over(equal)).where("_row <= _rows").select(*given)
     )

@@ -20,11 +20,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsflow.llm.common import text_batches
+from obsflow.llm.common import plainly_named
 from obsflow.scratch import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -78,13 +79,15 @@ def measured(docs: DataFrame) -> DataFrame:
     kept = docs.drop(*MEASURES)
     schema = T.StructType([*kept.schema.fields, *(T.StructField(m, T.LongType(), False) for m in MEASURES)])
 
-    def run(frames):
-        for part in text_batches(frames):
-            rows = [measures(t) if isinstance(t, str) else (0,) * len(MEASURES) for t in part["text"]]
-            found = pd.DataFrame(rows, columns=MEASURES, index=part.index, dtype=np.int64)
-            yield pd.concat([part, found], axis=1)
+    def run(batches):
+        for part in batches:  # Arrow, so that the other columns pass as they are
+            rows = [(0,) * len(MEASURES) if t is None else measures(t) for t in part["text"].to_pylist()]
+            found = np.array(rows, np.int64).reshape(-1, len(MEASURES))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, *(pa.array(found[:, k]) for k in range(len(MEASURES)))], names=schema.names
+            )
 
-    return kept.mapInPandas(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def base_failed():
@@ -156,7 +159,7 @@ def fit_cutoffs(
 
 
 def judged(features: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """``features`` with base_failed and kept.
+    """``features`` with base_failed and kept; other columns may have any name but ``_stratum`` and ``_cut_...``.
 
     A document is kept when it passes the base and every rule of its language. A NULL
     language is a language of its own.
@@ -177,12 +180,24 @@ def judged(features: DataFrame, cutoffs: DataFrame) -> DataFrame:
     )
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The documents that judge_documents keeps, with the columns they had, whatever their names.
+
+    NULL, empty and wordless texts go; repeated rows stay or go together; texts of any
+    length are measured whole. No documents: no rows.
+    """
+    plain, given = plainly_named(docs, "doc_id", "lang", "text")
+    return judge_documents(plain, labels, **options).where("kept").select(*given)
+
+
 def judge_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents with MEASURES, base_failed and kept; cutoffs are fitted on the labelled ones.
 
     NULL and empty texts have no words and fail the base. Repeated rows are judged
-    alike; no documents: no rows. Clashing columns of ``docs`` are replaced.
+    alike, texts of any length whole; no documents: no rows. Columns of ``docs`` named as
+    what is returned are replaced, all others stay.
     """
-    docs = docs.drop("base_failed", "kept")
+    docs = docs.drop(*MEASURES, "base_failed", "kept")
+    plain, given = plainly_named(docs, "doc_id", "lang", "text")
     cutoffs = fit_cutoffs(measured(docs.select("doc_id", "lang", "text")).drop("text"), labels, **options)
-    return judged(measured(docs), materialise(cutoffs, "quality-cutoffs"))
+    return judged(measured(plain), materialise(cutoffs, "quality-cutoffs")).select(*given, *MEASURES, "base_failed", "kept")

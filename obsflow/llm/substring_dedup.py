@@ -23,12 +23,15 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from obsflow.llm.common import partitions, text_batches
+from obsflow.llm.common import partitions, plainly_named, text_batches
 from obsflow.llm.exchange import flat, pieces, rows_by_bucket, slices, windows_within, word_values
+from obsflow.operators.rownum import row_index
 from obsflow.scratch import materialise
 
 WINDOW = 50
@@ -273,17 +276,31 @@ def _with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     return text.join(some, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with ``number``: the doc_id where it is a whole number, else one in the order of the doc_ids."""
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return docs.withColumn("number", F.col("doc_id").cast("long"))
+    numbers = row_index(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), ["doc_id"], "number")
+    return docs.join(numbers.select("doc_id", F.col("number").cast("long").alias("number")), "doc_id", "left")
+
+
 def dedup_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256): one row per document.
 
     A word goes when a window of ``window`` consecutive words covers it whose words also
     start in a document with a smaller doc_id. Windows are judged on the input. What is
-    kept is joined by single spaces for the digest.
+    kept is joined by single spaces for the digest. doc_ids that are no whole numbers are
+    compared in their own order.
 
     NULL and empty texts have no words; NULL doc_ids are neither compared nor changed.
     Rows of one doc_id do not touch each other. Texts of any length are taken whole.
     Other columns are ignored; no documents: no rows.
     """
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        numbered = materialise(_numbered(docs.select("doc_id", "text")), "numbered-documents")
+        names = numbered.select("doc_id", "number").where("number IS NOT NULL").distinct()
+        report = dedup_report(numbered.select(F.col("number").alias("doc_id"), "text"), window)
+        return report.withColumnRenamed("doc_id", "number").join(names, "number", "left").select("doc_id", *report.columns[1:])
     every = materialise(window_runs(docs, window), "window-runs")
     repeated = materialise(_with_runs(docs, every), "repeating-documents")
     spans = repeated_spans(repeated, window).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
@@ -307,17 +324,27 @@ def dedup_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with their repeated words removed from ``text``; see dedup_report.
 
     Texts that lose nothing are unchanged. In others the kept words are joined by single
-    spaces; a text that loses all becomes empty.
+    spaces; a text that loses all becomes empty. Other columns come back as they are,
+    whatever their names.
     """
-    every = materialise(window_runs(docs, window), "window-runs")
-    repeated = materialise(_with_runs(docs, every), "repeating-documents")
+    plain, given = plainly_named(docs, "doc_id", "text")
+    numbered = _numbered(plain)
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        numbered = materialise(numbered, "numbered-documents")
+    texts = numbered.select(F.col("number").alias("doc_id"), "text")
+    every = materialise(window_runs(texts, window), "window-runs")
+    repeated = materialise(_with_runs(texts, every), "repeating-documents")
     spans = repeated_spans(repeated, window).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
-
-    def shorten(frames):
-        for part in text_batches(frames):
-            text = [t if s is None else b" ".join(kept_words(t, s)[0]).decode() for t, s in zip(part["text"], part["_spans"], strict=True)]
-            yield part.drop(columns="_spans").assign(text=pd.Series(text, index=part.index, dtype=object))
-
-    marked = docs.join(spans, (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64("text") == F.col("_mark")), "left")
-    return marked.select(*docs.columns, "_spans").mapInPandas(shorten, docs.schema)
+    spans = spans.withColumnsRenamed({"doc_id": "of_number", "mark": "of_text"})
+    place = plain.columns.index("text")
+
+    def shorten(batches):
+        for part in batches:  # Arrow, so that the other columns pass as they are
+            text, cut = part["text"].to_pylist(), part["spans"].to_pylist()
+            text = [t if s is None else b" ".join(kept_words(t, s)[0]).decode() for t, s in zip(text, cut, strict=True)]
+            columns = part.columns[:-1]
+            columns[place] = pa.array(text, part.schema.field("text").type)
+            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
+
+    marked = numbered.join(spans, (F.col("number") == F.col("of_number")) & (F.xxhash64("text") == F.col("of_text")), "left")
+    return marked.select(*plain.columns, "spans").mapInArrow(shorten, plain.schema).select(*given)

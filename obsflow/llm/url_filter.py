@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from obsflow.llm.common import ascii_lower, partitions
 
-_LAST = "\U0010ffff"
+# No UTF-8 text holds this byte, so a path and it come after every text that begins with the path.
+_LAST = b"\xff"
 
 
 def url_host(url: Column) -> Column:
@@ -51,8 +52,8 @@ def nested_rules(rules: DataFrame) -> DataFrame:
         .withColumn("key", F.array_join(_reversed_labels(F.col("host")), "."))
     )
     ends = F.array(
-        F.struct(F.col("path").alias("at"), F.lit(1).alias("step")),
-        F.struct(F.concat("path", F.lit(_LAST)).alias("at"), F.lit(-1).alias("step")),
+        F.struct(F.col("path").cast("binary").alias("at"), F.lit(1).alias("step")),
+        F.struct(F.concat(F.col("path").cast("binary"), F.lit(_LAST)).alias("at"), F.lit(-1).alias("step")),
     )
     sweep = Window.partitionBy("key").orderBy("at", "step").rowsBetween(Window.unboundedPreceding, 0)
     return (

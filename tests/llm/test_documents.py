@@ -216,3 +216,14 @@ def test_mixing_targets_and_copies(spark):
     copies_ = mixing.mixed_documents(docs)
     assert copies_.columns == docs.columns and copies_.count() == sum(r.mix_copies for r in out)
     assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
+def test_substring_dedup_of_named_documents(spark, copies):
+    rows, frame = copies
+    named = [(None if d is None else f"d{d:04d}", t) for d, t in rows]
+    order = frame.selectExpr("'d' || lpad(doc_id, 4, '0') AS doc_id", "text")
+    found = sorted((tuple(r)[:3] for r in substring_dedup.dedup_report(order).collect()), key=repr)
+    assert found == sorted(((d, n, gone) for d, n, gone, _ in brute.substring_dedup(named)), key=repr)
+    kept = sorted(((r.doc_id, r.text) for r in substring_dedup.dedup_documents(order).collect()), key=repr)
+    texts = zip(named, brute.substring_dedup(named), strict=True)
+    assert kept == sorted(((d, " ".join(w) if gone else t) for (d, t), (_, _, gone, w) in texts), key=repr)

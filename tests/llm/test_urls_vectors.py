@@ -31,6 +31,15 @@ def brute(url, rules):
     return host, path, best[2], best[3]
 
 
+def test_paths_with_the_last_character(spark):
+    rules = [("net", "a", "block"), ("net", "a\U0010ffffb", "allow"), ("net", "a\U0010ffff", "block"), ("net", "a\U0010ffff\U0010ffff", "allow")]
+    rules = [(h, "/" + p, a) for h, p, a in rules]
+    urls = ["http://x.net/a\U0010ffffc", "http://net/a\U0010ffff\U0010ffffc", "http://net/a\U0010ffffb/x", "http://net/ab", "http://net/b"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = url_filter.filter_urls(pages, spark.createDataFrame(rules, "host string, path string, action string"))
+    assert sorted(tuple(r) for r in found.collect()) == [(i, *brute(u, rules)) for i, u in enumerate(urls)]
+
+
 def test_urls(spark):
     rows = [(i, u, "x", "clash") for i, u in enumerate(URLS)] + [(5, URLS[5], "x", "clash"), (None, URLS[9], "x", "clash")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, rule string").repartition(3)
