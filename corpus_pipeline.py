@@ -15,24 +15,28 @@ from obsflow.llm.bpe import bpe_round_trip
 from obsflow.llm.common import table
 from obsflow.llm.mixing import mixed_documents
 from obsflow.llm.ngram_join import one_of_each
-from obsflow.llm.quality_rules import judge_documents
+from obsflow.llm.quality_rules import good_documents
 from obsflow.llm.substring_dedup import dedup_documents
 from obsflow.scratch import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return judge_documents(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    """The documents that pass the base and their language's cutoffs; NULL and empty texts go."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the smallest doc_id, of repeated rows one."""
     return one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without words that repeat an earlier one's passage; ``n_chars`` follows, NULL text keeps it."""
     return dedup_documents(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target takes it: not at all, once or twice."""
     return mixed_documents(docs)
 
 
@@ -57,7 +61,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder; each result is written and read again."""
+    """All stages over the documents of a folder; each result is written and read again.
+
+    Texts of any length pass whole. Every stage but the last returns the columns of its
+    documents, whatever their names; an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
