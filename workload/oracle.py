@@ -523,3 +523,51 @@ GROUP BY method, city, island""",
   date_trunc('hour', ingest_ts) AS h FROM obs WHERE requested_city IS NOT NULL""",
 )
 ORACLE_SQL["lookup_location_stored"] = ORACLE_SQL["lookup_location_or"]
+
+
+# Leaves of the nested payloads, column by column.
+_NOW = "CASE WHEN obs_id % 29 <> 0 AND obs_id % 23 = 0 THEN 'now.' ELSE 'current.' END"
+_CLOUD = "CASE WHEN obs_id % 29 = 0 THEN 'clouds' ELSE 'cloud' END"
+_CLOUD_KIND = "CASE WHEN obs_id % 29 <> 0 AND obs_id % 23 <> 0 AND obs_id % 19 = 0 THEN 'DOUBLE' ELSE 'BIGINT' END"
+_LOCATION_LEAVES = {
+    "name": ("city", "STRING"), "region": ("region", "STRING"), "country": ("country", "STRING"),
+    "lat": ("lat", "DOUBLE"), "lon": ("long", "DOUBLE"), "tz_id": ("tz_id", "STRING"),
+    "localtime": ("localtime_txt", "STRING"),
+}
+_CURRENT_LEAVES = {
+    "condition.text": ("condition_txt", "STRING"), "condition.code": ("condition_code", "BIGINT"),
+    "feelslike_c": ("feelslike_c", "DOUBLE"), "gust_kph": ("gust_kph", "DOUBLE"), "humidity": ("humidity", "BIGINT"),
+    "is_day": ("is_day", "BIGINT"), "last_updated": ("last_updated_txt", "STRING"), "precip_mm": ("precip_mm", "DOUBLE"),
+    "pressure_in": ("pressure_in", "DOUBLE"), "temp_c": ("temp_c", "DOUBLE"), "uv": ("uv", "DOUBLE"),
+    "vis_km": ("vis_km", "DOUBLE"), "wind_degree": ("wind_degree", "BIGINT"), "wind_dir": ("wind_dir", "STRING"),
+    "wind_kph": ("wind_kph", "DOUBLE"),
+}
+
+
+def _leaf(path: str, kind: str, column: str, text: bool) -> str:
+    value, number = (column, "NULL") if text else ("NULL", column)
+    return f"""SELECT obs_id, ingest_ts, {path} AS path, {kind} AS kind, {value}::VARCHAR AS value, {number}::DOUBLE AS number
+FROM obs WHERE obs_id % 31 <> 0 AND {column} IS NOT NULL"""
+
+
+LEAVES = " UNION ALL ".join([
+    "SELECT obs_id, ingest_ts, '' AS path, 'CORRUPT' AS kind, 'not a document' AS value, NULL::DOUBLE AS number FROM obs WHERE obs_id % 31 = 0",
+    _leaf(f"{_NOW} || {_CLOUD}", _CLOUD_KIND, "cloud", False),
+    *(_leaf(f"'location.{p}'", f"'{k}'", c, k == "STRING") for p, (c, k) in _LOCATION_LEAVES.items()),
+    *(_leaf(f"{_NOW} || '{p}'", f"'{k}'", c, k == "STRING") for p, (c, k) in _CURRENT_LEAVES.items()),
+])
+_DECLARED = ", ".join(
+    f"('{p}')" for p in [*(f"location.{n}" for n in _LOCATION_LEAVES), "current.cloud", *(f"current.{n}" for n in _CURRENT_LEAVES)]
+)
+ORACLE_SQL["variant_leaves"] = _with("SELECT obs_id, path, kind, value, number FROM leaves", "obs", leaves=LEAVES)
+ORACLE_SQL["schema_drift"] = _with(
+    """SELECT path, kind, change, min(h) AS first_hour, max(h) AS last_hour, count(DISTINCT h)::BIGINT AS hours, count(*)::BIGINT AS payloads
+FROM (SELECT path, kind, date_trunc('hour', ingest_ts) AS h, CASE WHEN kind = 'CORRUPT' THEN 'corrupt'
+  WHEN path NOT IN (SELECT path FROM declared) THEN 'new' WHEN path = 'current.cloud' AND kind = 'DOUBLE' THEN 'retyped' END AS change
+  FROM leaves) WHERE change IS NOT NULL GROUP BY path, kind, change
+UNION ALL SELECT d.path, NULL, 'lost', min(x.h), max(x.h), count(*)::BIGINT, 0::BIGINT
+FROM declared d CROSS JOIN (SELECT DISTINCT date_trunc('hour', ingest_ts) AS h FROM obs) x
+WHERE NOT EXISTS (SELECT 1 FROM leaves l WHERE l.path = d.path AND date_trunc('hour', l.ingest_ts) = x.h)
+GROUP BY d.path""",
+    "obs", leaves=LEAVES, declared=f"SELECT * FROM (VALUES {_DECLARED}) v(path)",
+)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions import documents, text, times
-from obsflow.operators import clean, contract, flatten, gaps, keys, quality, rownum
+from obsflow.operators import clean, contract, drift, flatten, gaps, keys, leaves, quality, rownum
 from obsflow.operators.latest import latest_per_city_hour
 from obsflow.operators.lookup import first_id_by
 from obsflow.operators.stored_keys import StoredKeys, lookup_stored_location
@@ -642,7 +642,26 @@ def nested_texts(spark, d):
         .when(F.col("obs_id") % 19 == 0, F.regexp_replace(body, '"cloud":([0-9]+)', '"cloud":$1.0'))
         .otherwise(body)
     )
-    return raw.select("obs_id", line.alias("payload"))
+    return raw.select("obs_id", "ingest_ts", line.alias("payload"))
+
+
+@query
+def variant_leaves(spark, d):
+    """Leaves of mixed payloads without a schema; numbers apart from their spelling."""
+    found = leaves.variant_leaves(nested_texts(spark, d), "payload", keep=("obs_id",))
+    numeric = F.col("kind").isin("BIGINT", "DOUBLE")
+    return found.withColumns({
+        "value": F.when(~numeric, F.col("value")), "number": F.when(numeric, F.col("value")).cast("double")
+    })
+
+
+@query
+def schema_drift(spark, d):
+    """New, lost and retyped paths of a history, from the shapes of two batches that share hours."""
+    lines = nested_texts(spark, d)
+    odd = F.col("obs_id") % 2 == 1
+    halves = [drift.hour_shapes(lines.where(half), "payload", "ingest_ts", RAW_CURRENT) for half in (odd, ~odd)]
+    return drift.schema_drift(drift.merge_shapes(halves[0].unionByName(halves[1])), RAW_CURRENT)
 
 
 # ----------------------------------------------------------------- feeds ----
