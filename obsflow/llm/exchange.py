@@ -18,7 +18,7 @@ import xxhash
 
 from obsflow.llm.common import mixed
 
-PIECE = 4 << 20
+PIECE = 2 << 20
 SLICE = 400_000
 #: Counted for a document besides its text, so that a piece has under 2 ** 16 documents.
 DOCUMENT = 128

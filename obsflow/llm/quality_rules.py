@@ -81,7 +81,8 @@ def measured(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for part in batches:  # Arrow, so that the other columns pass as they are
-            rows = [(0,) * len(MEASURES) if t is None else measures(t) for t in part["text"].to_pylist()]
+            texts = (t.as_py() for t in part["text"])  # one at a time, not a batch of strings
+            rows = [(0,) * len(MEASURES) if t is None else measures(t) for t in texts]
             found = np.array(rows, np.int64).reshape(-1, len(MEASURES))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, *(pa.array(found[:, k]) for k in range(len(MEASURES)))], names=schema.names
