@@ -53,6 +53,11 @@ def hour_bucket_path(*, root: str | None = None) -> Column:
     return F.concat_ws("/", *([F.lit(root)] if root else []), *parts)
 
 
+def hour_start(at: str) -> Column:
+    """The hour a time falls into. By date and hour: truncation would pass through the session's zone."""
+    return F.to_date(at).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(at))
+
+
 def minute_bucket(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMddHHmm")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obsflow.functions.times import hour_start
 from obsflow.operators.contract import ACCEPTED
 from obsflow.operators.leaves import leaves
 
@@ -43,8 +44,7 @@ def hour_shapes(
     maps = [path for path, field in _fields(schema) if isinstance(field.dataType, T.MapType)]
     found = F.transform(leaves(F.col(text), maps), lambda leaf: F.struct(leaf["path"], leaf["kind"]))
     shape = F.array_sort(F.array_distinct(found.cast("array<struct<path: string, kind: string>>")))
-    # By date and hour, because truncation would pass through the session's zone.
-    hour = (F.to_date(at).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(at))).alias("hour")
+    hour = hour_start(at).alias("hour")
     counted = df.select(*by, hour, shape.alias("shape")).groupBy(*by, "hour", "shape").agg(F.count(F.lit(1)).alias("payloads"))
     return merge_shapes(counted.select(*by, "hour", F.inline("shape"), "payloads"), by)
 

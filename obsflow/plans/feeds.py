@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +17,12 @@ from obsflow.operators.quality import identifiable_rows, is_identifiable
 from obsflow.schemas import (
     ASTRONOMY_FIELDS,
     CURRENT_FIELDS,
-    HOUR_BUCKET,
     IDENTITY_FIELDS,
     MARINE_DAY_FIELDS,
     PROCESSED,
     SPORTS,
-    bucketed,
 )
 from obsflow.sinks.tables import write_hour_partitions
-from obsflow.sources.landing import hour_bucket_scan
 
 
 def parse_times(df: DataFrame, names=("last_updated", "localtime")) -> DataFrame:
@@ -119,40 +118,39 @@ def process(raw: DataFrame, method: str) -> DataFrame:
     return FEED_PLANS[method](raw)
 
 
+REPORT = "method string, status string, rows long, error string"
+
+
+def _transform_feed(raw: DataFrame, method: str, root: str, run_ts: datetime) -> tuple:
+    """One row of the report; ``rows`` is what the write itself has counted."""
+    try:
+        rows = with_hour_bucket(process(raw, method), method, run_time(run_ts))
+        return method, "done", write_hour_partitions(rows, f"{root}/{method}"), None
+    except Exception as error:  # whatever it is, it is reported and not raised
+        return method, "failed", 0, str(error)
+
+
 def transform_feeds(
-    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, run_ts: datetime
+    spark: SparkSession,
+    frames: Mapping[str, DataFrame],
+    root: str,
+    run_ts: datetime,
+    *,
+    side_by_side: int = 4,
 ) -> DataFrame:
     """Transform each feed into the run's hour of its table below ``root`` and report the outcomes.
 
-    A feed that fails does not stop the others and leaves its table as it was; other
-    hours stay as they are in any case. One row per feed: method, status, rows written,
-    error.
+    Feeds are independent, so the jobs of ``side_by_side`` of them run at a time: the tasks
+    of one fill what the last tasks of another leave idle. A feed that fails does not stop
+    the others and leaves its table as it was; other hours stay as they are in any case.
+    One row per feed: method, status, rows written, error. Each feed is passed over once.
     """
     run_ts = naive_run_ts(run_ts)
-    outcomes = []
-    for method, raw in frames.items():
-        label = F.lit(method).alias("method")
-        try:
-            target = f"{root}/{method}"
-            rows = with_hour_bucket(process(raw, method), method, run_time(run_ts))
-            write_hour_partitions(rows, target)
-            stored = spark.read.schema(bucketed(rows.drop(*HOUR_BUCKET).schema)).parquet(target)
-            written = hour_bucket_scan(stored, method, run_ts)
-            outcomes.append(
-                written.agg(F.count(F.lit(1)).alias("rows")).select(
-                    label, F.lit("done").alias("status"), "rows", F.lit(None).cast("string").alias("error")
-                )
-            )
-        except Exception as error:  # whatever it is, it is reported and not raised
-            outcomes.append(
-                spark.range(1).select(
-                    label,
-                    F.lit("failed").alias("status"),
-                    F.lit(0).cast("long").alias("rows"),
-                    F.lit(str(error)).alias("error"),
-                )
-            )
-    report = spark.createDataFrame([], "method string, status string, rows long, error string")
-    for outcome in outcomes:
-        report = report.unionByName(outcome)
-    return report
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+        # Wrapped once per feed: each thread gets its own copy of the caller's job properties.
+        runs = [
+            pool.submit(inheritable_thread_target(spark)(_transform_feed), raw, method, root, run_ts)
+            for method, raw in frames.items()
+        ]
+        outcomes = [run.result() for run in runs]
+    return spark.createDataFrame(outcomes, REPORT)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from obsflow.functions.text import empty_to_null
@@ -22,15 +22,19 @@ def write_hour_partitions(
     *,
     sort_by: Sequence[str] = (),
     fmt: str = "parquet",
-) -> None:
+) -> int:
     """Write a partitioned table, replacing the partitions the frame has rows for.
 
     Rebalancing gathers a partition's rows into files of the advisory size and
-    splits a partition that holds far more than that over several tasks.
+    splits a partition that holds far more than that over several tasks. Returns the
+    number of rows written. They are observed after the shuffle, in the tasks that write:
+    of those each counts once, also when lost ones run again.
     """
+    written = Observation()
     laid_out = df.hint("rebalance", *by)
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*by, *sort_by)
+    laid_out = laid_out.observe(written, F.count(F.lit(1)).alias("rows"))
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -38,6 +42,7 @@ def write_hour_partitions(
         .format(fmt)
         .save(path)
     )
+    return written.get["rows"]
 
 
 def _stored_rows(batch: DataFrame, path: str, by: Sequence[str], fmt: str) -> DataFrame:

@@ -571,3 +571,22 @@ WHERE NOT EXISTS (SELECT 1 FROM leaves l WHERE l.path = d.path AND date_trunc('h
 GROUP BY d.path""",
     "obs", leaves=LEAVES, declared=f"SELECT * FROM (VALUES {_DECLARED}) v(path)",
 )
+
+_NUMBERS = ("bigint", "double")
+
+
+def _profiled(column: str, kind: str) -> str:
+    low, high = (f"{f}({column})::DOUBLE" if kind in _NUMBERS else "NULL::DOUBLE" for f in ("min", "max"))
+    close = f"CASE WHEN count({column}) > 0 THEN true END" if kind in _NUMBERS else "NULL::BOOLEAN"
+    return f"""SELECT '{column}' AS column_name, count(*) AS rows, count({column}) AS rows_with_value, {low} AS low, {high} AS high,
+  count(DISTINCT {column}) AS exact_distinct, true AS distinct_close, {close} AS quantiles_close FROM obs"""
+
+
+ORACLE_SQL["profile_range"] = _with(
+    " UNION ALL ".join(_profiled(c, t) for c, t in OBS_TYPES.items() if c != "ingest_ts"), "obs"
+)
+ORACLE_SQL["point_read"] = _with(
+    """SELECT obs_id, ingest_ts, requested_city, temp_c FROM obs
+WHERE requested_city IN ('Customer#000000001', 'Customer#000000007', 'Customer#999999999')""",
+    "obs",
+)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions import documents, text, times
-from obsflow.operators import clean, contract, drift, flatten, gaps, keys, leaves, quality, rownum
+from obsflow.operators import clean, contract, drift, flatten, gaps, keys, leaves, profiles, quality, rownum
 from obsflow.operators.latest import latest_per_city_hour
 from obsflow.operators.lookup import first_id_by
 from obsflow.operators.stored_keys import StoredKeys, lookup_stored_location
@@ -29,7 +29,7 @@ from obsflow.schemas import (
     struct,
 )
 from obsflow.scratch import materialise, scratch_path
-from obsflow.sinks import deltas, tables
+from obsflow.sinks import deltas, points, tables
 from obsflow.sources import landing, requests
 from obsflow.streaming.incremental import incremental_load
 from obsflow.streaming.latest import stream_latest
@@ -444,6 +444,22 @@ def type_profile(spark, d):
     return quality.type_profile(views.observations(spark, d))
 
 
+@query
+def profile_range(spark, d):
+    """Profiles of two batches that share hours, stored, merged over the history and held against its rows."""
+    obs = views.observations(spark, d)
+    odd = F.col("obs_id") % 2 == 1
+    halves = [profiles.hour_profiles(obs.where(half), "ingest_ts") for half in (odd, ~odd)]
+    stored = materialise(halves[0].unionByName(halves[1]), "profiles")
+    read = materialise(profiles.read_profiles(profiles.merge_profiles(stored)), "profile")
+    audit = profiles.audit_profiles(obs, read)
+    return read.join(audit, "column_name").select(
+        "column_name", "rows", "rows_with_value", "low", "high", "exact_distinct",
+        (F.col("distinct_error") <= profiles.DISTINCT_ERROR).alias("distinct_close"),
+        (F.col("rank_error") <= profiles.RANK_ERROR).alias("quantiles_close"),
+    )
+
+
 @query
 def dim_key_min_id(spark, d):
     return first_id_by(views.locations(spark, d), ["lat", "long"], "id", "first_id")
@@ -664,6 +680,16 @@ def schema_drift(spark, d):
     return drift.schema_drift(drift.merge_shapes(halves[0].unionByName(halves[1])), RAW_CURRENT)
 
 
+@query
+def point_read(spark, d):
+    """The observations of three cities, by Bloom filters of a table that is sorted by time."""
+    obs, path = views.observations(spark, d), scratch_path(spark, "points")
+    points.write_point_table(obs, path, ["ingest_ts", "obs_id"], ["requested_city"])
+    cities = [f"Customer#{n:09d}" for n in (1, 7, 999_999_999)]
+    found = points.read_points(spark, path, obs.schema, "requested_city", cities)
+    return found.select("obs_id", "ingest_ts", "requested_city", "temp_c")
+
+
 # ----------------------------------------------------------------- feeds ----
 
 
