@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def give_back() -> None:
+    """Hand a worker's free memory back to the machine.
+
+    Workers live on from stage to stage, and what one has freed counts as the executor's
+    until it is handed back. Does nothing where the C library cannot.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Bounded(dict):
     """Remembers about ``size`` to twice ``size`` results of a pure function.
 

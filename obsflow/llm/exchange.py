@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 
-from obsflow.llm.common import mixed
+from obsflow.llm.common import give_back, mixed
 
 PIECE = 2 << 20
 SLICE = 400_000
@@ -112,6 +112,7 @@ def slices(values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
 def pieces(frames):
     """Pandas frames of about PIECE characters of text each, small ones put together."""
     held, size = [], 0
+    give_back()  # what earlier stages have left
     for frame in frames:
         lengths = frame["text"].str.len().fillna(0).to_numpy(np.int64) + DOCUMENT
         start = 0
@@ -121,6 +122,7 @@ def pieces(frames):
                 held.append(frame.iloc[start : i + 1])
                 yield pd.concat(held, ignore_index=True)
                 held, start, size = [], i + 1, 0
+                give_back()
         held.append(frame.iloc[start:])
     held = [h for h in held if len(h)]
     if held:

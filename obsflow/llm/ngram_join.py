@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import mixed, partitions, plainly_named
+from obsflow.llm.common import give_back, mixed, partitions, plainly_named
 from obsflow.llm.components import components
 from obsflow.llm.exchange import (
     flat, pieces, rows_by_bucket, slices, window_values, windows_within, word_values,
@@ -147,6 +147,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
             })
 
     def compare(frames):
+        give_back()
         held = [f for f in frames if len(f)]
         if not held:
             return
@@ -159,6 +160,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
             return
         pieces_, (values, places, bounds) = rows["piece"].to_numpy(), flat(rows, HASH)
         del rows, held
+        give_back()
         for at, order, starts in slices(values):
             counts = np.diff(np.append(starts, len(order)))
             frequency = np.empty(len(order), np.int64)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsflow.llm.common import partitions, plainly_named, text_batches
+from obsflow.llm.common import give_back, partitions, plainly_named, text_batches
 from obsflow.llm.exchange import flat, pieces, rows_by_bucket, slices, windows_within, word_values
 from obsflow.operators.rownum import row_index
 from obsflow.scratch import materialise
@@ -151,6 +151,7 @@ def window_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             })
 
     def compare(frames):
+        give_back()
         held = [f for f in frames if len(f)]
         if not held:
             return
@@ -165,6 +166,7 @@ def window_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         owners = np.frombuffer(b"".join(rows["owners"]), "<i8")
         owner = np.repeat(np.arange(len(owners), dtype=np.uint32), np.frombuffer(b"".join(rows["owned"]), "<u4"))
         del rows, held
+        give_back()
         for at, order, starts in slices(values):
             ranked = owners[owner[at]][order]
             least, most = np.minimum.reduceat(ranked, starts), np.maximum.reduceat(ranked, starts)
