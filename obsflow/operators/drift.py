@@ -1,8 +1,8 @@
 """How the payloads of a history depart from a declared schema.
 
-Payloads of an hour are counted by their shape (the sorted paths and kinds of their
-leaves) before anything is exploded, so what is shuffled follows the number of different
-shapes and not that of payloads. Shapes are stored per hour and merge by adding:
+Payloads of an hour are counted by their shape before any shape is taken apart into the
+paths and kinds of its leaves, so both that work and what is shuffled follow the number of
+different shapes and not that of payloads. Shapes are stored per hour and merge by adding:
 the drift of any range of hours is read from them, not from payloads.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from obsflow.functions.times import hour_start
 from obsflow.operators.contract import ACCEPTED
-from obsflow.operators.leaves import leaves
+from obsflow.operators.leaves import leaf_shape, shape_leaves
 
 
 def _fields(schema: T.StructType, prefix: str = "") -> Iterator[tuple[str, T.StructField]]:
@@ -42,11 +42,14 @@ def hour_shapes(
 ) -> DataFrame:
     """(by, hour, path, kind, payloads): in how many payloads of an hour a path has a kind."""
     maps = [path for path, field in _fields(schema) if isinstance(field.dataType, T.MapType)]
-    found = F.transform(leaves(F.col(text), maps), lambda leaf: F.struct(leaf["path"], leaf["kind"]))
-    shape = F.array_sort(F.array_distinct(found.cast("array<struct<path: string, kind: string>>")))
+    shape, found = leaf_shape(F.col(text)), F.col("shape")
+    if maps:  # their keys are data and would make every payload a shape of its own
+        shape = F.array_sort(F.array_distinct(shape_leaves(shape, maps)))
+    else:
+        found = F.array_distinct(shape_leaves(found))
     hour = hour_start(at).alias("hour")
     counted = df.select(*by, hour, shape.alias("shape")).groupBy(*by, "hour", "shape").agg(F.count(F.lit(1)).alias("payloads"))
-    return merge_shapes(counted.select(*by, "hour", F.inline("shape"), "payloads"), by)
+    return merge_shapes(counted.select(*by, "hour", F.inline(found), "payloads"), by)
 
 
 def merge_shapes(shapes: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -94,3 +94,28 @@ def test_shapes_of_batches_add_up(spark):
     # Shapes are counted before they are exploded: one generator, above a partial count.
     explained = final_plan(whole)
     assert explained.index("Generate") < explained.rindex("partial_count") and "Python" not in explained
+
+
+def test_leaves_of_shapes(spark):
+    """Those of the walk through the document, for names of any characters, maps and few levels."""
+    rng = random.Random(7)
+    names = ["a", "a b", "a`b", "``", "`", "", "OBJECT", "OBJECT<", "x: y, z>", "DECIMAL(1,2)", "1", "é.ü", "n\n", "\\", '"', "BIGINT"]
+    odd = {name: {other: [1, 2.5, {"x": []}] for other in names} for name in names}
+    texts = [json.dumps(random_document(rng)) for _ in range(150)] + [json.dumps(odd), json.dumps({"a": {"b": {"c": {}}}, "m": {"k": {"x": 1}}})]
+    texts += [None, "", "{", '{"a": 1, "a": 2}', "5.0", "1e400", str(10**30), str(10**50), "true", "[]", "{}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    for whole, levels in (((), leaves.LEVELS), (["m", "a"], 2), (["m.k"], 1), ((), 0)):
+        walked = leaves.variant_leaves(frame, "t", ["id"], whole, levels).select("id", "path", "kind")
+        found = frame.select("id", F.inline(leaves.shape_leaves(leaves.leaf_shape(F.col("t")), whole, levels)))
+        assert rows(found) == rows(walked)
+
+
+def test_shapes_are_walked_once_counted(spark):
+    """Without maps only shapes that differ are taken apart, and no payload; numbers of any size share one."""
+    plain = struct(("a", DOUBLE), ("b", struct(("c", STRING))))
+    frame = _hours(spark, [[f'{{"a": {10.0 ** k / 4}, "b": {{"c": "{k}"}}}}' for k in range(1, 7)]] * 3)
+    shapes = drift.hour_shapes(frame, "t", "at", plain)
+    assert rows(shapes.drop("hour")) == sorted([("a", "DOUBLE", 6), ("b.c", "STRING", 6)] * 3, key=repr)
+    assert frame.select(leaves.leaf_shape(F.col("t"))).distinct().count() == 1
+    explained = final_plan(shapes)
+    assert "lambda" not in explained[explained.rindex("partial_count"):]

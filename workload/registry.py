@@ -676,7 +676,8 @@ def schema_drift(spark, d):
     """New, lost and retyped paths of a history, from the shapes of two batches that share hours."""
     lines = nested_texts(spark, d)
     odd = F.col("obs_id") % 2 == 1
-    halves = [drift.hour_shapes(lines.where(half), "payload", "ingest_ts", RAW_CURRENT) for half in (odd, ~odd)]
+    shapes = [drift.hour_shapes(lines.where(half), "payload", "ingest_ts", RAW_CURRENT) for half in (odd, ~odd)]
+    halves = [materialise(batch, "shapes") for batch in shapes]  # read twice by the drift
     return drift.schema_drift(drift.merge_shapes(halves[0].unionByName(halves[1])), RAW_CURRENT)
 
 
