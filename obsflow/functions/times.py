@@ -20,18 +20,30 @@ def as_wall_clock(c: Column) -> Column:
     return c.try_cast("timestamp_ntz")
 
 
-def parse_clock(day: Column, clock: Column) -> Column:
-    """Clock text such as ``7:05 AM`` on a given day; sentinels become NULL.
-
-    The text is parsed as UTC and moved to NTZ by its offset from the epoch, so
-    the session time zone plays no part.
-    """
+def _parsed_clock(day: Column, clock: Column) -> Column:
+    """Any clock text the pattern takes. Parsed as UTC and moved to NTZ by its offset from the epoch."""
     text = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), clock, F.lit("Z"))
     instant = F.try_to_timestamp(text, F.lit("yyyy-MM-dd h:mm aX"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return epoch + F.make_dt_interval(secs=F.unix_seconds(instant).cast("decimal(18,6)"))
 
 
+def parse_clock(day: Column, clock: Column) -> Column:
+    """Clock text such as ``7:05 AM`` on a given day; sentinels become NULL.
+
+    The session time zone plays no part. Plain spellings are added up and text without a
+    colon is none: only what is left goes through the time parser, which is slow, most of
+    all with text that it refuses.
+    """
+    date = F.to_date(day)
+    plain = clock.rlike(r"^(0?[1-9]|1[0-2]):[0-5][0-9] [AP]M\z")
+    plain = plain & date.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))
+    hour = F.substring_index(clock, ":", 1).try_cast("int") % 12 + F.when(clock.endswith("PM"), 12).otherwise(0)
+    minute = F.substring(clock, -5, 2).try_cast("int")
+    added = date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, minute)
+    return F.when(plain, added).when(F.contains(clock, F.lit(":")), _parsed_clock(day, clock))
+
+
 def hour_bucket_columns(ts: Column) -> dict[str, Column]:
     return {
         "year": F.year(ts),

@@ -1,7 +1,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from obsflow.functions import documents, text, times
@@ -122,3 +122,18 @@ def test_country_record_edges(spark):
         (2, "", "", "", "", "", ""),
         (3, "", "", "", "", "", ""),
     ]
+
+
+def test_plain_clocks_agree_with_the_parser(spark):
+    """The short way and the parser give the same for any text, and the parser sees no plain or hopeless one."""
+    texts = ["7:05 AM", "07:05 AM", "12:00 AM", "12:00 PM", "1:59 PM", "11:30 am", "0:30 AM", "00:30 PM", "13:00 PM", "7:60 AM",
+             "7:5 AM", "7:05AM", "7:05  AM", " 7:05 AM", "7:05 AM ", "007:05 AM", "7:05 AM\n", "No moonrise", "", ":", "é:00 AM", None]
+    days = ["2024-03-10 02:30:00", "2024-02-29 23:59:59", "0001-01-01 00:00:00", "9999-12-31 12:00:00", None]
+    frame = spark.createDataFrame([(d, t) for d in days for t in texts], "d string, t string")
+    frame = frame.withColumn("d", F.col("d").cast("timestamp_ntz"))
+    both = frame.select("d", "t", times.parse_clock(F.col("d"), F.col("t")).alias("short"), times._parsed_clock(F.col("d"), F.col("t")).alias("long"))
+    assert [tuple(r) for r in both.where("NOT short <=> long").collect()] == []
+    assert both.where("short IS NOT NULL").count() >= 4 * 5
+    # A text without a colon is settled ahead of the parser: nothing is parsed to refuse it.
+    text = plan(frame.where("t = 'No moonrise'").select(times.parse_clock(F.col("d"), F.col("t"))))
+    assert "contains(t#" in text.lower()

@@ -184,8 +184,12 @@ def raw_marine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1 to 3 days per payload, 1 to 4 hours and 0 to 2 tides per day."""
     key = F.col("o_orderkey")
 
-    def day(i: Column) -> Column:
-        date = F.date_format(F.date_add(F.col("o_orderdate").cast("date"), i.cast("int")), "yyyy-MM-dd")
+    def dated(i: Column) -> Column:
+        date = F.date_add(F.col("o_orderdate").cast("date"), i.cast("int"))
+        return F.struct(i.alias("i"), date.cast("string").alias("date"))
+
+    def day(of: Column) -> Column:
+        i, date = of["i"], of["date"]  # one text for all hours and tides
         hours = _counted(
             (1 + key % 4).cast("int"),
             lambda h: _document(
@@ -212,7 +216,7 @@ def raw_marine(spark: SparkSession, sf_dir: str) -> DataFrame:
         astro = _document(sunrise="rise_txt", sunset="set_txt", moonrise="moon_txt", moonset="set_txt")
         return _document(date=date, day=measures, astro=astro, hour=hours)
 
-    days = _counted((1 + key % 3).cast("int"), day)
+    days = F.transform(_counted((1 + key % 3).cast("int"), dated), day)
     return order_places(spark, sf_dir).select(
         _order_location().alias("location"),
         _document(forecastday=days.cast(T.ArrayType(FORECAST_DAY))).alias("forecast"),
