@@ -1,7 +1,9 @@
 import json
+import random
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.operators import contract
@@ -89,3 +91,42 @@ def test_feed_schemas(spark):
         (0, "forecast.forecastday[].day.tides[].tide[].tide_type", "wrong_type"),
         (0, "forecast.forecastday[].hour[].time", "wrong_type"),
     ]
+
+
+NAMES = ["a", "é", "a b", "a`b", "x.y", "DECIMAL(1,2)", "Z", "_", "\\", "n\n", "1"]
+
+
+def test_shapes_settle_what_the_check_settles(spark):
+    """With names of any characters, nested, required or not: the same as the check alone, and most need no check."""
+    rng = random.Random(5)
+    leaves = [STRING, LONG, DOUBLE, T.BooleanType()]
+    inner = struct(*((n, leaves[k % 4], k % 3 > 0) for k, n in enumerate(NAMES)))
+    schema = struct(*((n, leaves[k % 4], k % 2 > 0) for k, n in enumerate(NAMES)), ("in", inner), ("must", inner, False))
+    values = {STRING: "x", LONG: 7, DOUBLE: 2.5, T.BooleanType(): True}
+
+    def document(of, slips):
+        made = {}
+        for field in of:
+            value = document(field.dataType, slips) if isinstance(field.dataType, T.StructType) else values[field.dataType]
+            if field.dataType == DOUBLE:
+                value = rng.choice([2, 2.5, 1e300, 10**25 + 0.5])
+            if field.nullable and rng.random() < 0.3:
+                value = None
+            if not (field.nullable and rng.random() < 0.2) and rng.random() >= slips:
+                made[field.name] = rng.choice([1.5, "y", None, {}, []]) if rng.random() < slips else value
+        return made | ({"more": 1} if rng.random() < slips else {})
+
+    texts = [json.dumps(document(schema, slips)) for slips in [0.0] * 60 + [0.02] * 60] + [None, "{", "{}", "null", "5", "[]"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, payload string").select("id", F.try_parse_json("payload").alias("v"))
+    pattern = contract._clean_shape(schema, False)
+    both = frame.select("id", contract.violations(F.col("v"), schema).alias("a"), contract._violations(F.col("v"), schema).alias("b"), F.schema_of_variant("v").rlike(f"^{pattern}$").alias("clean"))
+    found = both.collect()
+    assert [r.id for r in found if r.a != r.b] == []
+    assert [r.id for r in found if bool(r.clean) != (r.b == [])] == []
+    assert sum(bool(r.clean) for r in found) >= 60 and sum(not r.clean for r in found) >= 30
+
+
+def test_violations_are_computed_once(spark):
+    df = spark.createDataFrame([(1, "{}")], "id int, payload string")
+    text = plan(contract.contract_violations(df, "payload", SCHEMA, keep=["id"]))
+    assert "Filter" not in text and "rlike" in plan(contract.contract_violations(df, "payload", RAW_CURRENT)).lower()
