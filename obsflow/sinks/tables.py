@@ -45,7 +45,13 @@ def write_hour_partitions(
     return written.get["rows"]
 
 
-def _stored_rows(batch: DataFrame, path: str, by: Sequence[str], fmt: str) -> DataFrame:
+def _touched(batch: DataFrame, by: Sequence[str]) -> DataFrame:
+    return batch.select(*by).distinct()
+
+
+def _stored_rows(
+    batch: DataFrame, path: str, by: Sequence[str], fmt: str, touched: DataFrame | None = None
+) -> DataFrame:
     """Stored rows of the partitions a batch touches; ``by`` is the method, then the time.
 
     The table is read with its declared schema. Bounds on the time prune its partitions,
@@ -53,7 +59,7 @@ def _stored_rows(batch: DataFrame, path: str, by: Sequence[str], fmt: str) -> Da
     play no part, so any text can be a method.
     """
     spark = batch.sparkSession
-    touched = batch.select(*by).distinct()
+    touched = _touched(batch, by) if touched is None else touched
     time = F.struct(*by[1:])
     first, last, size = touched.agg(F.min(time), F.max(time), F.count(F.lit(1))).first()
     stored = read_table(spark, path, batch.schema, fmt=fmt)
@@ -82,10 +88,15 @@ def merge_rows(
     Only the partitions the batch has rows for are read and written again.
     """
     batch = batch.select(*[c for c in batch.columns if c not in by], *by)
-    stored = _stored_rows(batch, path, by, fmt)
-    rows = batch.withColumn("_age", F.lit(0)).unionByName(stored.withColumn("_age", F.lit(1)))
-    kept = first_per_key(rows, keys, [F.asc("_age"), *order]).drop("_age")
-    write_hour_partitions(kept, path, by, sort_by=sort_by, fmt=fmt)
+    # Bounded, measured and joined: kept, so that the batch is not computed for each of these.
+    touched = _touched(batch, by).persist()
+    try:
+        stored = _stored_rows(batch, path, by, fmt, touched)
+        rows = batch.withColumn("_age", F.lit(0)).unionByName(stored.withColumn("_age", F.lit(1)))
+        kept = first_per_key(rows, keys, [F.asc("_age"), *order]).drop("_age")
+        write_hour_partitions(kept, path, by, sort_by=sort_by, fmt=fmt)
+    finally:
+        touched.unpersist()
 
 
 def land_raw(

@@ -255,3 +255,22 @@ def test_missing_in_one_hour(spark):
     grid = requests.request_grid(spark.createDataFrame([("a",), ("b",)], "city string"), ["current"])
     landed = with_hour_bucket(bucketed(spark, ("a", 1, 0, 1), ("b", 2, 0, 1)), "current", F.col("ts"))
     assert rows(requests.missing_in_hour(grid, landed, datetime(2024, 1, 1, 2))) == [("current", "a")]
+
+
+def test_a_merge_computes_its_batch_twice_at_most(spark, tmp_path):
+    """Once for the partitions it touches and once for its rows."""
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    texts = [("current", 2024, 1, 5, h, f"city{k}", h * k) for h in range(3) for k in range(4)]
+    by = ["method", "year", "month", "day", "hour"]
+    frame = spark.createDataFrame(texts, "method string, year int, month int, day int, hour int, city string, n int").coalesce(1)
+    for _ in range(2):  # the second time there is something stored
+        computed.value = 0
+        tables.merge_rows(frame.mapInArrow(counted, frame.schema), str(tmp_path / "t"), by, [*by, "city"], [F.desc("n")])
+        assert computed.value <= 2 * len(texts)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == len(texts)
