@@ -71,9 +71,9 @@ class Lakehouse:
         return f"{self.root}/weathers"
 
 
-def _stored(df: DataFrame, run_ts: datetime, path: str, method: str = "current") -> None:
+def _stored(df: DataFrame, run_ts: datetime, path: str, method: str = "current", *, gathered: bool) -> None:
     """Write a run's rows into its hour bucket; a repeated run replaces them."""
-    write_hour_partitions(with_hour_bucket(df, method, run_time(run_ts)), path)
+    write_hour_partitions(with_hour_bucket(df, method, run_time(run_ts)), path, gathered=gathered)
 
 
 def _bucket(
@@ -103,7 +103,8 @@ def transform_hour(
         method = F.col("method") if "method" in keep else F.lit("current")
         hours = with_hour_bucket(rows, method, F.col("ingest_ts"))
         rows = latest_per_city_hour(hours, tie=[t for t in tie if t in keep]).select(*PROCESSED.names)
-    _stored(rows, naive_run_ts(run_ts), house.processed)
+    # The last payloads come from a shuffle, payloads as they are from files of any size.
+    _stored(rows, naive_run_ts(run_ts), house.processed, gathered="ingest_ts" in keep)
 
 
 def transform_landed(spark: SparkSession, house: Lakehouse, run_ts: datetime, schema: StructType) -> DataFrame:
@@ -145,7 +146,7 @@ def load_hour(
     _grow(assign_ids(fresh, locations, LOCATION_ORDER).select(*LOCATIONS.names), house.locations)
 
     locations = read_table(spark, house.locations, LOCATIONS)
-    _stored(fact_with_fk(rows, locations, run_ts), run_ts, house.weathers)
+    _stored(fact_with_fk(rows, locations, run_ts), run_ts, house.weathers, gathered=True)
 
 
 def run_hour(

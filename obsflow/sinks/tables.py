@@ -22,6 +22,7 @@ def write_hour_partitions(
     *,
     sort_by: Sequence[str] = (),
     fmt: str = "parquet",
+    gathered: bool = False,
 ) -> int:
     """Write a partitioned table, replacing the partitions the frame has rows for.
 
@@ -29,9 +30,12 @@ def write_hour_partitions(
     splits a partition that holds far more than that over several tasks. Returns the
     number of rows written. They are observed after the shuffle, in the tasks that write:
     of those each counts once, also when lost ones run again.
+
+    With ``gathered`` rows are written as they lie, without that shuffle: for rows of one
+    partition that come from another shuffle, or from files of a good size.
     """
     written = Observation()
-    laid_out = df.hint("rebalance", *by)
+    laid_out = df if gathered else df.hint("rebalance", *by)
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*by, *sort_by)
     laid_out = laid_out.observe(written, F.count(F.lit(1)).alias("rows"))

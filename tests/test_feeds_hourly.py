@@ -8,7 +8,8 @@ from fixtures import COUNTRY_TEXTS, current, place
 from pyspark.sql import functions as F
 
 from obsflow.functions.documents import country_records
-from obsflow.plans import dimensions, feeds
+from obsflow.functions.times import with_hour_bucket
+from obsflow.plans import dimensions, feeds, hourly
 from obsflow.plans.facts import fact_with_fk
 from obsflow.plans.hourly import Lakehouse, run_hour, run_landed_hour
 from obsflow.schemas import (
@@ -20,6 +21,7 @@ from obsflow.schemas import (
     RAW_SPORTS,
 )
 from obsflow.scratch import scratch_root
+from obsflow.sinks import tables
 
 RUN = datetime(2024, 1, 1, 9)
 
@@ -314,3 +316,19 @@ def test_run_without_payloads_raises(spark, tmp_path):
     raw = frame(spark, RAW_CURRENT, current(None, lat=None))
     with pytest.raises(ValueError, match="no data landed"):
         run_hour(spark, raw, Lakehouse(str(tmp_path / "h")), payloads(spark), RUN)
+
+
+def test_rows_of_a_run_are_not_shuffled_to_be_written(spark, tmp_path, monkeypatch):
+    """The last payloads and the facts are written as they lie; payloads from files of any size are gathered."""
+    written = []
+    write = hourly.write_hour_partitions
+    monkeypatch.setattr(hourly, "write_hour_partitions", lambda df, path, **how: written.append((Path(path).name, how.get("gathered", False))) or write(df, path, **how))
+    raw = raw_with_times(spark, current("a"), current("b"))
+    run_hour(spark, raw, Lakehouse(str(tmp_path / "h")), payloads(spark), RUN)
+    run_hour(spark, raw.drop("ingest_ts"), Lakehouse(str(tmp_path / "i")), payloads(spark), RUN)
+    assert written == [("processed", True), ("weathers", True), ("processed", False), ("weathers", True)]
+    hour = with_hour_bucket(spark.range(90).repartition(3), "current", F.lit(RUN))
+    for gathered, files in ((False, 1), (True, 3)):
+        path = tmp_path / f"t{gathered}"
+        assert tables.write_hour_partitions(hour, str(path), gathered=gathered) == 90
+        assert len(list(path.rglob("*.parquet"))) == files
