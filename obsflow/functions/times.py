@@ -59,6 +59,12 @@ def with_hour_bucket(df: DataFrame, method: Column | str, ts: Column) -> DataFra
     return df.withColumns({"method": method, **hour_bucket_columns(ts)})
 
 
+def hour_bucket_values(method: str, run_ts: datetime) -> dict[str, str | int]:
+    """The bucket of a run without a zone, as ``with_hour_bucket`` has it in columns."""
+    values = (method, run_ts.year, run_ts.month, run_ts.day, run_ts.hour)
+    return dict(zip(HOUR_BUCKET, values, strict=True))
+
+
 def hour_bucket_path(*, root: str | None = None) -> Column:
     """``root/method/year/month/day/hour`` without zero padding."""
     parts = [F.col(c).cast("string") for c in HOUR_BUCKET]

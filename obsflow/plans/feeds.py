@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions.text import empty_to_null
-from obsflow.functions.times import as_wall_clock, naive_run_ts, parse_clock, run_time, with_hour_bucket
+from obsflow.functions.times import (
+    as_wall_clock,
+    hour_bucket_values,
+    naive_run_ts,
+    parse_clock,
+    run_time,
+    with_hour_bucket,
+)
 from obsflow.operators.flatten import drop_all_empty_lists, explode_tagged, flatten_mapped
 from obsflow.operators.quality import identifiable_rows, is_identifiable
 from obsflow.schemas import (
@@ -125,7 +132,8 @@ def _transform_feed(raw: DataFrame, method: str, root: str, run_ts: datetime) ->
     """One row of the report; ``rows`` is what the write itself has counted."""
     try:
         rows = with_hour_bucket(process(raw, method), method, run_time(run_ts))
-        return method, "done", write_hour_partitions(rows, f"{root}/{method}"), None
+        hour = hour_bucket_values(method, run_ts)
+        return method, "done", write_hour_partitions(rows, f"{root}/{method}", only=hour), None
     except Exception as error:  # whatever it is, it is reported and not raised
         return method, "failed", 0, str(error)
 

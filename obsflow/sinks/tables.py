@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions.text import empty_to_null
@@ -12,8 +13,67 @@ from obsflow.functions.times import minute_bucket, with_hour_bucket
 from obsflow.operators.latest import first_per_key
 from obsflow.operators.lookup import BROADCAST_BYTES, measured_bytes
 from obsflow.schemas import HOUR_BUCKET
+from obsflow.scratch import remove
 from obsflow.sources.landing import read_table
 
+#: Rows of one partition that the optimizer takes for smaller are gathered before they are written.
+#: Larger ones stay where they are, in no more files than so much fills or there are cores.
+GATHERED_BYTES = 32 << 20
+
+
+def _for_one_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Few rows in files of the advisory size; many without a shuffle, tasks of little put together."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size < GATHERED_BYTES:
+        return df.hint("rebalance", *by)
+    files = max(size // GATHERED_BYTES, df.sparkSession.sparkContext.defaultParallelism)
+    return df.coalesce(files) if files < 2**31 else df  # a frame of unknown size has the largest number
+
+
+def _partition_folder(df: DataFrame, path: str, partition: Mapping[str, object]) -> str:
+    """Where Spark keeps a partition of a table, values escaped as it does."""
+    named = df.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join([path, *[named(c, None if v is None else str(v)) for c, v in partition.items()]])
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(at(target), True)
+    files.mkdirs(at(target).getParent())
+    if not files.rename(at(source), at(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def _replace_partition(df: DataFrame, path: str, partition: Mapping[str, object], fmt: str) -> int:
+    """Write a frame as one partition of a table, as a dynamic overwrite does, but without its sort.
+
+    Spark sorts the rows of each task by the partition columns, and what a task cannot
+    hold of them goes to disk, though here all rows have the same values. They are
+    written to a hidden folder of the table and take the partition's place once all are
+    there. No rows leave it as it is. A row of another partition fails the write.
+    """
+    path, spark, written = path.rstrip("/"), df.sparkSession, Observation()
+    elsewhere = F.lit(False)
+    for name, value in partition.items():
+        elsewhere = elsewhere | ~F.col(name).eqNullSafe(F.lit(value))
+    counts = [F.count(F.lit(1)).alias("rows"), F.count_if(elsewhere).alias("elsewhere")]
+    fresh, there = f"{path}/.fresh-{uuid.uuid4().hex}", _partition_folder(df, path, partition)
+    try:
+        writer = df.observe(written, *counts).drop(*partition).write.format(fmt)
+        if fmt == "parquet":
+            writer = writer.option("compression", "zstd")  # two thirds of the default's size, in the same time
+        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").save(fresh)
+        rows, strays = written.get["rows"], written.get["elsewhere"]
+        if strays:
+            raise ValueError(f"{strays} rows do not belong to {there}")
+        if rows:
+            _move(spark, fresh, there)
+    finally:
+        remove(spark, fresh)
+    return rows
+
 
 def write_hour_partitions(
     df: DataFrame,
@@ -23,6 +83,7 @@ def write_hour_partitions(
     sort_by: Sequence[str] = (),
     fmt: str = "parquet",
     gathered: bool = False,
+    only: Mapping[str, object] | None = None,
 ) -> int:
     """Write a partitioned table, replacing the partitions the frame has rows for.
 
@@ -33,7 +94,15 @@ def write_hour_partitions(
 
     With ``gathered`` rows are written as they lie, without that shuffle: for rows of one
     partition that come from another shuffle, or from files of a good size.
+
+    ``only``: the values of ``by``, where all rows belong to one partition. Then rows are
+    not sorted by it, and shuffled only where they are few.
     """
+    if only is not None:
+        laid_out = df if gathered else _for_one_partition(df, by)
+        if sort_by:
+            laid_out = laid_out.sortWithinPartitions(*sort_by)
+        return _replace_partition(laid_out, path, {c: only[c] for c in by}, fmt)
     written = Observation()
     laid_out = df if gathered else df.hint("rebalance", *by)
     if sort_by:

@@ -5,10 +5,11 @@ from pathlib import Path
 import pytest
 from conftest import rows
 from fixtures import COUNTRY_TEXTS, current, place
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from obsflow.functions.documents import country_records
-from obsflow.functions.times import with_hour_bucket
+from obsflow.functions.times import hour_bucket_values, with_hour_bucket
 from obsflow.plans import dimensions, feeds, hourly
 from obsflow.plans.facts import fact_with_fk
 from obsflow.plans.hourly import Lakehouse, run_hour, run_landed_hour
@@ -142,6 +143,59 @@ def test_feeds_keep_their_hours_and_a_failing_run_changes_nothing(spark, tmp_pat
     assert feeds.transform_feeds(spark, {}, out, RUN).count() == 0
 
 
+def test_large_feeds_are_neither_shuffled_nor_sorted_to_be_written(spark, tmp_path, monkeypatch):
+    """Of unknown size, so taken for large: a file per task that has rows. Sorts come with partitionBy."""
+    raw = frame(spark, RAW_CURRENT, *[current(f"c{i}") for i in range(90)]).repartition(3)
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *names: pytest.fail("sorted by partition columns"))
+    report = feeds.transform_feeds(spark, {"current": raw}, str(tmp_path), RUN)
+    assert rows(report) == [("current", "done", 90, None)]
+    assert len(list(tmp_path.glob("current/method=current/year=2024/month=1/day=1/hour=9/*.zstd.parquet"))) == 3
+    assert rows(spark.read.parquet(str(tmp_path / "current")).groupBy("method", "year", "hour").count()) == [
+        ("current", 2024, 9, 90)
+    ]
+
+
+def test_small_feeds_are_gathered_and_large_ones_keep_to_full_files(spark, tmp_path, monkeypatch):
+    spark.range(0, 4000, 1, 40).withColumn("t", F.sha2(F.col("id").cast("string"), 256)).write.parquet(f"{tmp_path}/in")
+    hour = with_hour_bucket(spark.read.parquet(f"{tmp_path}/in").repartition(40), "current", F.lit(RUN))
+    only = hour_bucket_values("current", RUN)
+    for most, fewest, files in ((1 << 30, 1, 1), (1, 30, 40), (1 << 16, 8, 16)):
+        monkeypatch.setattr(tables, "GATHERED_BYTES", most)
+        path = tmp_path / f"t{most}"
+        assert tables.write_hour_partitions(hour, str(path), only=only) == 4000
+        assert fewest <= len(list(path.rglob("*.parquet"))) <= files
+        assert spark.read.parquet(str(path)).select("id", *only).distinct().count() == 4000
+
+
+@pytest.mark.parametrize("method", ["current", "air:quality", "x=y", "p/q", "{m}", "a b", "100%", "", None])
+def test_one_partition_is_the_one_a_dynamic_overwrite_makes(spark, tmp_path, method):
+    bucketed = lambda n, hour: with_hour_bucket(
+        spark.range(n), F.lit(method).cast("string"), F.lit(RUN.replace(hour=hour))
+    )
+    stored = {}
+    for way in ("one", "dynamic"):
+        path = tmp_path / way
+        for n, hour in ((3, 9), (2, 10), (0, 9), (1, 10)):
+            only = {"only": hour_bucket_values(method, RUN.replace(hour=hour))} if way == "one" else {}
+            assert tables.write_hour_partitions(bucketed(n, hour), str(path), **only) == n
+        table = spark.read.parquet(str(path))
+        folders = sorted({str(p.parent.relative_to(path)) for p in path.rglob("*.parquet")})
+        others = sorted(str(p.relative_to(path)) for p in path.rglob("*") if p.is_file() and p.name[0] != "." and p.suffix != ".parquet")
+        stored[way] = rows(table), table.columns, folders, others
+    assert stored["one"] == stored["dynamic"]
+    assert len(stored["one"][0]) == 4
+
+
+def test_rows_of_another_hour_fail_the_write(spark, tmp_path):
+    path, only = str(tmp_path / "t"), hour_bucket_values("current", RUN)
+    bucketed = lambda n: with_hour_bucket(spark.range(n), "current", F.lit(RUN) + F.make_dt_interval(hours=F.col("id")))
+    assert tables.write_hour_partitions(bucketed(1), path, only=only) == 1
+    with pytest.raises(ValueError, match="2 rows do not belong"):
+        tables.write_hour_partitions(bucketed(3), path, only=only)
+    assert spark.read.parquet(path).count() == 1
+    assert [p.name for p in (tmp_path / "t").iterdir() if p.is_dir()] == ["method=current"]
+
+
 def raw_with_times(spark, *docs):
     df = frame(spark, RAW_CURRENT, *docs)
     return df.withColumns({
